@@ -53,6 +53,7 @@ def audit_contract(raw: DataFrame, value_col: str = "value") -> DataFrame:
     or just ``not_an_object``.
 
     The text is read as a variant, which keeps the JSON type of each member.
+    As in :func:`decode`, text after the first object is not looked at.
     """
     text = F.col(value_col).cast("string")
     members = F.try_parse_json(text).try_cast("map<string, variant>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +57,19 @@ def decode(
 
 
 def encode(
-    events: DataFrame, key_col: str = "device_id", payload_col: str | None = None
+    events: DataFrame,
+    key_col: str = "device_id",
+    payload_col: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Write events as (key, value) messages keyed by device.
 
     ``payload_col`` names a column of ready-made text that is sent as it is
-    where it is not null.  Null fields are left out of the object.
+    where it is not null.  Null fields are left out of the object.  Columns
+    named in ``keep`` travel beside the message.
     """
     fields = [F.col(name) for name in WIRE_FIELDS if name in events.columns]
     value = F.to_json(F.struct(*fields))
     if payload_col is not None:
         value = F.coalesce(F.col(payload_col), value)
-    return events.select(F.col(key_col).alias("key"), value.alias("value"))
+    return events.select(F.col(key_col).alias("key"), value.alias("value"), *keep)

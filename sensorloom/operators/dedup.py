@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.contract import EVENT_KEY
+from sensorloom.functions.watermarks import watermarked
 
 
 def merge_copies(
@@ -27,7 +28,7 @@ def merge_copies(
     which is before any window that holds it can close.
     """
     others = [name for name in events.columns if name not in keys]
-    grouped = events.withWatermark("event_time", watermark_delay).groupBy(*keys)
+    grouped = watermarked(events, "event_time", watermark_delay).groupBy(*keys)
     if not others:
         return grouped.agg(F.count(F.lit(1)).alias("copies")).select(*events.columns)
     return grouped.agg(F.min(F.struct(*others)).alias("kept")).select(
@@ -39,7 +40,7 @@ def drop_copies_within_watermark(
     events: DataFrame,
     watermark_delay: str = "2 minutes",
     keys: Sequence[str] = EVENT_KEY,
-    spread: int = 16,
+    spread: int = 64,
 ) -> DataFrame:
     """Pass the first copy of each event on at once; for streams only.
 
@@ -51,12 +52,12 @@ def drop_copies_within_watermark(
     """
     if not events.isStreaming:
         raise ValueError("for streams only; use merge_copies on a table")
-    watermarked = events.withWatermark("event_time", watermark_delay)
+    arriving = watermarked(events, "event_time", watermark_delay)
     if spread > 1:
         slice_no = F.pmod(F.spark_partition_id(), F.lit(spread))
-        watermarked = (
-            watermarked.withColumn("_slice", slice_no)
+        arriving = (
+            arriving.withColumn("_slice", slice_no)
             .dropDuplicatesWithinWatermark([*keys, "_slice"])
             .drop("_slice")
         )
-    return watermarked.dropDuplicatesWithinWatermark(list(keys))
+    return arriving.dropDuplicatesWithinWatermark(list(keys))

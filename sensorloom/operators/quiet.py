@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.durations import interval
+from sensorloom.functions.watermarks import watermarked
 
 
 def quiet_periods(
@@ -47,7 +48,7 @@ def quiet_signals(events: DataFrame, threshold: str, watermark_delay: str) -> Da
     stops, nothing is reported.
     """
     return (
-        events.withWatermark("event_time", watermark_delay)
+        watermarked(events, "event_time", watermark_delay)
         .groupBy(F.session_window("event_time", threshold).alias("session"), "device_id")
         .agg(F.count(F.lit(1)).alias("event_count"))
         .select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.durations import interval
+from sensorloom.functions.watermarks import watermarked
 from sensorloom.operators.classify import classify, split
 from sensorloom.operators.decode import decode
 
@@ -17,7 +18,7 @@ def dead_letter_volume(
 ) -> DataFrame:
     """Dead letters per window of ``quarantined_at`` and reason; table or stream."""
     return (
-        dead.withWatermark("quarantined_at", watermark_delay)
+        watermarked(dead, "quarantined_at", watermark_delay)
         .groupBy(F.window("quarantined_at", window_duration), "error_reason")
         .agg(F.count(F.lit(1)).alias("dead_letters"))
         .select(
@@ -41,7 +42,7 @@ def dead_letter_rate(
     ``is_spike`` marks windows whose rate reaches ``alert_rate``.
     """
     counted = (
-        classified.withWatermark(time_col, watermark_delay)
+        watermarked(classified, time_col, watermark_delay)
         .groupBy(F.window(time_col, window_duration))
         .agg(
             F.count(F.lit(1)).alias("records"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.durations import milliseconds
+from sensorloom.functions.watermarks import watermarked
 
 
 def _statistics() -> list[Column]:
@@ -51,7 +52,7 @@ def windowed_aggregates(
     """
     bucket = F.window("event_time", window_duration, slide_duration)
     return _flat(
-        valid.withWatermark("event_time", watermark_delay)
+        watermarked(valid, "event_time", watermark_delay)
         .groupBy(bucket, "device_id", "metric_type")
         .agg(*_statistics())
     )

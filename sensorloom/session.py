@@ -58,7 +58,7 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     It lies below ``spark.checkpoint.dir``.  Only a local master may do without
     that setting; it gets a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
