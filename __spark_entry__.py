@@ -152,10 +152,13 @@ def _dead(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sl.dead_letters(_classified(messages(spark, sf_dir)))
 
 
-def _with_copies(valid: DataFrame) -> DataFrame:
-    """Every reading one to three times; the ones of the device with the most most often."""
+def _with_copies(valid: DataFrame, relayed: bool = False) -> DataFrame:
+    """Every reading one to three times, by device; ``relayed`` marks the site of each copy."""
     copies = F.pmod(F.crc32(F.col("device_id")), F.lit(3)) + 1
-    return valid.withColumn("_", F.explode(F.sequence(F.lit(1), copies))).drop("_")
+    copied = valid.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    if relayed:
+        copied = copied.withColumn("site_id", F.concat_ws("/", "site_id", "copy"))
+    return copied.drop("copy")
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -282,7 +285,12 @@ def contract_audit(spark, sf_dir):
 
 
 def dedup(spark, sf_dir):
-    return _plain_times(sl.merge_copies(_with_copies(_valid(spark, sf_dir))))
+    return _plain_times(sl.merge_copies(_with_copies(_valid(spark, sf_dir)), keys=None))
+
+
+def dedup_by_key(spark, sf_dir):
+    """Copies differ in the site that relayed them; the event key alone decides."""
+    return _plain_times(sl.merge_copies(_with_copies(_valid(spark, sf_dir), relayed=True)))
 
 
 def dedup_windows(spark, sf_dir):
@@ -296,9 +304,7 @@ def quiet_devices(spark, sf_dir):
 
 def quiet_devices_now(spark, sf_dir):
     """Also those still silent at the last reading of the fleet."""
-    valid = _valid(spark, sf_dir)
-    end = valid.agg(F.max("event_time")).scalar()
-    return _plain_times(sl.quiet_periods(valid, "12 hours", as_of=end))
+    return _plain_times(sl.quiet_periods(_valid(spark, sf_dir), "12 hours", at_end=True))
 
 
 def _arrivals(spark, sf_dir):
@@ -501,6 +507,7 @@ _QUERIES = (
     reason_breakdown,
     contract_audit,
     dedup,
+    dedup_by_key,
     dedup_windows,
     quiet_devices,
     quiet_devices_now,
@@ -775,6 +782,10 @@ def oracle_sql() -> dict[str, str]:
                    AS violations
             FROM telemetry""",
         "dedup": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
+        "dedup_by_key": """
+            SELECT device_id, metric_type, event_time, value, min(site_id) || '/1' AS site_id,
+                   min(firmware_version) AS firmware_version
+            FROM valid GROUP BY device_id, metric_type, event_time, value""",
         "dedup_windows": _window_sql(_HOUR),
         "quiet_devices": f"""{_GAPS}
             SELECT * FROM gaps WHERE quiet_until - quiet_from > INTERVAL 12 HOUR""",

@@ -14,25 +14,30 @@ from sensorloom.functions.watermarks import watermarked
 def merge_copies(
     events: DataFrame,
     watermark_delay: str = "2 minutes",
-    keys: Sequence[str] = EVENT_KEY,
+    keys: Sequence[str] | None = EVENT_KEY,
 ) -> DataFrame:
-    """One row per event key, by aggregation; for use before a window aggregate.
+    """One row per event, by aggregation; for use before a window aggregate.
+
+    Copies meet map-side, so an event that makes up a large part of the input
+    reaches the shuffle as one row per task.
 
-    Copies meet map-side, so a key that makes up a large part of the input
-    reaches the shuffle as one row per task.  Where copies differ outside the
-    key, the least combination of the other columns is kept, which does not
-    depend on the order of arrival.  If a later step drops those columns, they
-    are not computed at all.
+    Where copies differ outside ``keys``, the least combination of the other
+    columns is kept, which does not depend on the order of arrival.  Columns
+    that no later step reads are not computed at all; if they are read, Spark
+    has to sort for them.  ``keys=None`` takes rows for copies only if they
+    agree in every column, and that is a hash aggregate in any case.
 
     On a stream a row is passed on once the watermark reaches its event time,
     which is before any window that holds it can close.
     """
-    others = [name for name in events.columns if name not in keys]
-    grouped = watermarked(events, "event_time", watermark_delay).groupBy(*keys)
+    columns = events.columns
+    identity = columns if keys is None else list(keys)
+    others = [name for name in columns if name not in identity]
+    grouped = watermarked(events, "event_time", watermark_delay).groupBy(*identity)
     if not others:
-        return grouped.agg(F.count(F.lit(1)).alias("copies")).select(*events.columns)
-    return grouped.agg(F.min(F.struct(*others)).alias("kept")).select(
-        *[F.col(f"kept.{name}") if name in others else F.col(name) for name in events.columns]
+        return grouped.agg(F.count(F.lit(1)).alias("_copies")).select(*columns)
+    return grouped.agg(F.min(F.struct(*others)).alias("_kept")).select(
+        *[F.col(f"_kept.{name}") if name in others else F.col(name) for name in columns]
     )
 
 

@@ -29,7 +29,9 @@ def replay_watermark(
 
     The greatest event time is found per batch first.  The running maximum
     over batches works within chunks of batches and then over one row per
-    chunk, so no task orders the rows or even all batches.
+    chunk, so no task orders the rows or even all batches.  The rows are read
+    twice, for the peaks with two columns only.  Rows without an arrival time
+    belong to no batch and are left out.
     """
     batched = events.withColumn("batch_start", F.window(arrival_col, trigger_interval)["start"])
     chunk_length = f"{CHUNK_BATCHES * milliseconds(trigger_interval)} milliseconds"
@@ -48,7 +50,8 @@ def replay_watermark(
     within = F.max("peak").over(before.partitionBy("chunk").orderBy("batch_start"))
     watermarks = (
         peaks.select("chunk", "batch_start", within.alias("peak_in_chunk"))
-        .join(chunks, "chunk")
+        # a left join leaves both sides of it one shuffled aggregate to share
+        .join(chunks, "chunk", "left")
         .select(
             "batch_start",
             (F.greatest("peak_in_chunk", "peak_before_chunk") - interval(watermark_delay)).alias(

@@ -14,12 +14,13 @@ def quiet_periods(
     threshold: str,
     time_col: str = "event_time",
     as_of: Column | None = None,
+    at_end: bool = False,
 ) -> DataFrame:
     """Silences longer than ``threshold`` per device, over a table.
 
     Gives ``device_id, quiet_from, quiet_until``; the latter is null for a
-    device that is still silent at ``as_of`` (left out if no ``as_of`` is
-    given).
+    device that is still silent at ``as_of``, or with ``at_end`` at the last
+    reading of the fleet.  Without either, those are left out.
 
     Two readings in the same slot of ``threshold`` length cannot be that far
     apart, so the first and last reading per slot are enough.  They come from
@@ -35,6 +36,8 @@ def quiet_periods(
         F.col("last_seen").alias("quiet_from"),
         F.lead("first_seen").over(by_time).alias("quiet_until"),
     )
+    if at_end:
+        as_of = slots.agg(F.max("last_seen")).scalar()
     until = F.col("quiet_until") if as_of is None else F.coalesce("quiet_until", as_of)
     return silences.where(until > F.col("quiet_from") + interval(threshold))
 

@@ -96,6 +96,8 @@ def test_quiet_periods_against_brute_force(spark):
     assert {tuple(r) for r in quiet_periods(df, "10 minutes", as_of=as_of).collect()} == (
         expected | still
     )
+    at_end = quiet_periods(df, "10 minutes", at_end=True)
+    assert {tuple(r) for r in at_end.collect()} == expected | still
     assert ("edge", at(0), at(600)) not in expected
 
 
