@@ -55,12 +55,17 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder that all executors can reach.
 
-    It lies below ``spark.checkpoint.dir``.  Only a local master may do without
-    that setting; it gets a temporary folder.
+    It lies below ``spark.checkpoint.dir``, or else the checkpoint folder of the
+    context.  Only a local master may do without; it gets a temporary folder.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    shared = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         shared = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{shared.rstrip('/')}/sensorloom/{purpose}-{uuid.uuid4().hex}"
