@@ -16,7 +16,12 @@ PROGRESS_SCHEMA = (
 
 
 def progress_row(progress: StreamingQueryProgress) -> tuple:
-    """One row of the metrics table: sums over the sources and state operators."""
+    """One row of the metrics table: sums over the sources and state operators.
+
+    An aggregate looks at the watermark after it has combined the rows of a
+    task, so ``dropped_rows`` counts late groups there and not late readings;
+    :func:`sensorloom.replay_watermark` counts readings.
+    """
     state = progress.stateOperators
     return (
         str(progress.id),

@@ -281,6 +281,21 @@ def test_progress_log(spark, streams, tmp_path):
     assert stored.first().query_id == str(feed.query.id)
 
 
+def test_processing_time_trigger(spark, streams, tmp_path):
+    folder = str(tmp_path / "topic")
+    rows = [("k", message("10:00:10")), ("k", "{")]
+    spark.createDataFrame(rows, "key STRING, value STRING").write.parquet(folder)
+    _, dead = split(classify(decode(envelope_stream(streams, folder))))
+    paths = str(tmp_path / "out"), str(tmp_path / "check")
+    query = append_to_parquet(dead, *paths, trigger_interval="1 second", name="refused")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and query.name == "refused"
+    finally:
+        query.stop()
+    assert [r.raw_value for r in read_results(spark, paths[0]).collect()] == ["{"]
+
+
 def test_settings():
     assert JobSettings.from_environment({}) == JobSettings()
     given = JobSettings.from_environment({"KAFKA_TOPIC": "t", "WINDOW_DURATION": "5 minutes", "X": "1"})
