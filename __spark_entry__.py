@@ -198,6 +198,19 @@ def classify_strict(spark, sf_dir):
     return strict.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def foreign_text(spark, sf_dir):
+    """Whole texts that are no readings, sent as messages: all refused, none changed."""
+    texts = {"documents": "text", "conversations": "text", "pages": "html", "events": "props"}
+    raw = None
+    for table, column in texts.items():
+        sent = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(
+            F.lit(table).alias("key"), F.col(column).alias("value")
+        )
+        raw = sent if raw is None else raw.unionByName(sent)
+    refused = sl.classify(sl.decode(raw)).where("NOT is_valid")
+    return refused.select("device_key", "error_reason", F.md5("raw_value").alias("text_hash"))
+
+
 def future_guard(spark, sf_dir):
     """Arrival is set back by two days for one device in ten, whose clocks then run ahead."""
     raw = messages(spark, sf_dir)
@@ -495,6 +508,7 @@ _QUERIES = (
     decode,
     classify_reasons,
     classify_strict,
+    foreign_text,
     future_guard,
     valid_rows,
     dead_letters,
@@ -731,6 +745,14 @@ def oracle_sql() -> dict[str, str]:
         "classify_strict": _reasons(
             f"CASE fault WHEN {NO_METRIC} THEN 'invalid_metric_type' ELSE error_reason END"
         ),
+        "foreign_text": """
+            SELECT device_key, md5(body) AS text_hash,
+                   CASE WHEN starts_with(body, '{') OR trim(body) = ''
+                        THEN 'missing_device_id' ELSE 'invalid_json' END AS error_reason
+            FROM (SELECT 'documents' AS device_key, text AS body FROM documents
+                  UNION ALL SELECT 'conversations', text FROM conversations
+                  UNION ALL SELECT 'pages', html FROM pages
+                  UNION ALL SELECT 'events', props FROM events)""",
         "future_guard": _reasons(
             "CASE WHEN error_reason IS NULL AND device_key LIKE '%5' "
             "AND event_time > arrival_time - INTERVAL 47 HOUR "
@@ -850,4 +872,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_restart": _closed_sql(_HOUR),
         "upserts": _window_sql(_DAY),
     }
-    return {name: _TELEMETRY + body for name, body in bodies.items()}
+    plain = {"foreign_text"}
+    return {name: ("" if name in plain else _TELEMETRY) + body for name, body in bodies.items()}

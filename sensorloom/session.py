@@ -22,7 +22,9 @@ STATE_STORE_CONF = {
 def telemetry_session(app_name: str = "sensorloom", **conf: str) -> SparkSession:
     """Session in UTC, with adaptive execution and the state store for streams.
 
-    The cluster decides on master, memory and parallelism.
+    The cluster decides on master, memory and parallelism.  Where it leaves the
+    number of shuffle partitions open, there are three per core: adaptive
+    execution joins small ones, but it does not split large ones.
     """
     builder = SparkSession.builder.appName(app_name)
     settings = {
@@ -34,7 +36,12 @@ def telemetry_session(app_name: str = "sensorloom", **conf: str) -> SparkSession
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    context = spark.sparkContext
+    partitions = "spark.sql.shuffle.partitions"
+    if partitions not in conf and not context.getConf().contains(partitions):
+        spark.conf.set(partitions, str(max(200, 3 * context.defaultParallelism)))
+    return spark
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:

@@ -51,12 +51,14 @@ def start_queries(
     settings: JobSettings,
     until_done: bool = False,
     by_date: bool = False,
+    files_per_batch: int | None = None,
     **pipeline_options,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the aggregates and the dead-letter query on a stream of messages.
 
     ``until_done`` works off what is there and ends, instead of running on the
-    trigger interval; ``by_date`` lays both tables out by date.
+    trigger interval.  ``by_date`` and ``files_per_batch`` shape both tables as
+    described at :func:`sensorloom.streaming.sinks.append_to_parquet`.
     """
     tables = telemetry_tables(
         raw, settings.window_duration, settings.watermark_delay, **pipeline_options
@@ -74,6 +76,7 @@ def start_queries(
             checkpoint=f"{settings.checkpoint_path}/{name}",
             trigger_interval=every,
             date_from=stamp if by_date else None,
+            files_per_batch=files_per_batch,
         )
         log.info("query %s (%s) appends to %s", name, query.id, path)
         started.append(query)

@@ -16,6 +16,7 @@ def append_to_parquet(
     trigger_interval: str | None = "30 seconds",
     date_from: str | None = None,
     partition_by: Sequence[str] = (),
+    files_per_batch: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start a query that appends to a Parquet table.
@@ -24,11 +25,18 @@ def append_to_parquet(
     is started again on its checkpoint goes on where it stopped, with offsets,
     watermark and state.  ``date_from`` names a timestamp column; the table is
     then laid out by its date, so that reports on some days read only those.
+
+    Every task of the last stage writes a file of its own, which on a large
+    cluster means thousands of small ones per trigger.  ``files_per_batch``
+    sends the finished rows, and only those, through a shuffle of that many
+    partitions first.
     """
     layout = list(partition_by)
     if date_from is not None:
         stream = stream.withColumn("date", F.to_date(date_from))
         layout.append("date")
+    if files_per_batch is not None:
+        stream = stream.repartition(files_per_batch)
     writer = (
         stream.writeStream.format("parquet")
         .option("path", path)

@@ -14,27 +14,37 @@ AGGREGATE_KEYS = ("window_start", "window_end", "device_id", "metric_type")
 BATCH = "batch_id"
 
 
-def upsert_writer(path: str) -> Callable[[DataFrame, int], None]:
+def upsert_writer(
+    path: str, files_per_batch: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch`` that stores the changed rows of one batch.
 
     A batch replaces its own directory only, so running it again after a
     failure changes nothing.  No row is read or rewritten to store another.
+    Batch ids belong to a checkpoint: a query on a new one needs a new path.
     """
 
     def write(changes: DataFrame, batch_id: int) -> None:
+        if files_per_batch is not None:
+            changes = changes.repartition(files_per_batch)
         changes.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
 
 
 def start_upserts(
-    aggregates: DataFrame, path: str, checkpoint: str, trigger_interval: str = "30 seconds"
+    aggregates: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger_interval: str = "30 seconds",
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
+    """Start the update-mode query; read its table with :func:`read_upserts`."""
     return (
         aggregates.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=trigger_interval)
-        .foreachBatch(upsert_writer(path))
+        .foreachBatch(upsert_writer(path, files_per_batch))
         .start()
     )
 

@@ -176,8 +176,9 @@ def test_layout_by_date(spark, streams, tmp_path):
     )
     settings = JobSettings(str(tmp_path), "t", *[str(tmp_path / n) for n in ("a", "d", "c")])
     raw = envelope_stream(streams, str(feed_folder))
-    for query in start_queries(raw, settings, until_done=True, by_date=True):
+    for query in start_queries(raw, settings, until_done=True, by_date=True, files_per_batch=1):
         query.awaitTermination()
+    assert len(list((tmp_path / "a").glob("date=*/*.parquet"))) == 2
     table = read_results(spark, str(tmp_path / "a"))
     assert table.count() == 2
     one_day = table.where("date = DATE'2026-07-30'")
@@ -252,7 +253,7 @@ def test_upserts_are_idempotent(spark, tmp_path):
         )
 
     path = str(tmp_path / "upserts")
-    write = upsert_writer(path)
+    write = upsert_writer(path, files_per_batch=1)
     write(changes(("a", 1.0, 1), ("b", 5.0, 1)), 0)
     write(changes(("a", 2.0, 2)), 1)
     write(changes(("a", 2.0, 2)), 1)
