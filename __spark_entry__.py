@@ -75,11 +75,11 @@ def _messages(events: DataFrame) -> DataFrame:
     reading = F.when(
         F.col("event_type") == "signup", F.round(F.lit(-20) - F.col("value"), 2)
     ).otherwise(F.col("value"))
-    pattern = "yyyy-MM-dd'T'HH:mm:ss"
+    taken = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     stamp = (
         F.when(fault == BAD_TIME, F.lit("not-a-timestamp"))
-        .when(fault == WHOLE_SECONDS, F.date_format("ts", f"{pattern}'Z'"))
-        .otherwise(F.date_format("ts", f"{pattern}.SSS'Z'"))
+        .when(fault == WHOLE_SECONDS, F.concat(F.substring(taken, 1, 19), F.lit("Z")))
+        .otherwise(taken)
     )
     user = F.col("user_id")
     lag = (
@@ -87,7 +87,7 @@ def _messages(events: DataFrame) -> DataFrame:
         .when(F.col("event_id") % 10 == 0, interval("20 minutes"))
         .otherwise(interval("0 seconds"))
     )
-    device = F.format_string("dev-%08x", user)
+    device = F.concat(F.lit("dev-"), F.lpad(F.lower(F.hex(user)), 8, "0"))
     fields = events.select(
         device.alias("sender"),
         unless((NO_DEVICE,), F.when(fault == ODD_ID, F.concat(F.lit("unit-"), user))
@@ -96,7 +96,7 @@ def _messages(events: DataFrame) -> DataFrame:
         unless((NO_METRIC,), metric).alias("metric_type"),
         unless((NO_VALUE,), F.when(fault == HUGE_VALUE, F.lit(9000.0)).otherwise(reading))
         .alias("value"),
-        F.format_string("site-%02d", user % 10).alias("site_id"),
+        F.concat(F.lit("site-0"), user % 10).alias("site_id"),
         F.concat(F.lit("1.4."), user % 5).alias("firmware_version"),
         fault.alias("fault"),
         (F.col("ts").cast("timestamp") + lag).alias("arrival_time"),

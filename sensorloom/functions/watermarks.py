@@ -14,7 +14,8 @@ def watermarked(rows: DataFrame, time_col: str, delay: str) -> DataFrame:
     In a chain of stateful steps the first watermark is the one that counts.
     A second one would only see what the first step has let go, and as the
     query goes by the least of its watermarks, everything would wait for it.
+    A table needs none.
     """
-    if _DELAY_ENTRY in rows.schema[time_col].metadata:
+    if not rows.isStreaming or _DELAY_ENTRY in rows.schema[time_col].metadata:
         return rows
     return rows.withWatermark(time_col, delay)

@@ -1,5 +1,6 @@
 """Decode and classify: one expected reason per kind of message."""
 
+import itertools
 import json
 
 import pytest
@@ -117,6 +118,52 @@ def test_reason(outcomes, what, text, reason):
     assert row.raw_value == text
 
 
+ABSENT = object()
+FIELDS = {
+    # value -> the reason it gives, in order of precedence of the fields
+    "device_id": [("dev-0000abcd", None), (ABSENT, "missing_device_id"), (None, "missing_device_id")],
+    "timestamp": [
+        ("2026-07-29T10:00:00.000Z", None),
+        ("2026-07-29T10:00:00Z", None),
+        (ABSENT, "invalid_timestamp"),
+        ("yesterday", "invalid_timestamp"),
+    ],
+    "metric_type": [
+        ("humidity", None),
+        ("signal_strength", None),
+        ("warp_factor", "invalid_metric_type"),
+        (ABSENT, "no metric"),
+        (None, "no metric"),
+    ],
+    "value": [
+        (50, {"signal_strength": "value_out_of_range"}),
+        (-50.5, {"humidity": "value_out_of_range"}),
+        ("-20", {"humidity": "value_out_of_range"}),
+        (1e9, {"humidity": "value_out_of_range", "signal_strength": "value_out_of_range"}),
+        ("N/A", "missing_or_non_numeric_value"),
+        (ABSENT, "missing_or_non_numeric_value"),
+        (None, "missing_or_non_numeric_value"),
+    ],
+}
+
+
+def test_precedence_over_all_combinations(spark):
+    rows, expected = [], {}
+    for n, choice in enumerate(itertools.product(*FIELDS.values())):
+        fields = {name: value for name, (value, _) in zip(FIELDS, choice) if value is not ABSENT}
+        device, stamp, metric, value = (reason for _, reason in choice)
+        if metric == "no metric":
+            # passes the metric rule, and no range fits
+            metric, value = None, value if isinstance(value, str) else "value_out_of_range"
+        elif isinstance(value, dict):
+            value = value.get(fields["metric_type"])
+        expected[str(n)] = device or stamp or metric or value
+        rows.append((str(n), json.dumps(fields)))
+    outcome = classify(decode(literal_messages(spark, rows)))
+    assert {row.device_key: row.error_reason for row in outcome.collect()} == expected
+    assert len(expected) == 420 and None in expected.values()
+
+
 def test_decoded_fields(outcomes):
     row = outcomes["canonical"]
     assert (row.device_id, row.metric_type, row.value) == ("dev-0000abcd", "temperature", 21.5)
