@@ -332,7 +332,7 @@ def watermark_replay(spark, sf_dir):
 
 def late_rows(spark, sf_dir):
     late = sl.late_rows(_arrivals(spark, sf_dir), "5 minutes", "30 minutes")
-    return _plain_times(late.drop("is_late"))
+    return _plain_times(late)
 
 
 def dead_letter_volume(spark, sf_dir):
@@ -377,7 +377,7 @@ def replay_still_refused(spark, sf_dir):
 # Queries that run a stream over the table to its end
 
 
-def _closed(spark, sf_dir, build, rows=None):
+def _closed(spark, sf_dir, build):
     """Run ``build`` on the stream, append to a new table, and read that."""
     session = stream_session(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -846,7 +846,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_first_copies": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
         "stream_quiet_devices": f""", starts AS (
               SELECT device_id, event_time,
-                     coalesce(event_time - lag(event_time) OVER d > INTERVAL 12 HOUR, true) AS fresh
+                     coalesce(event_time - lag(event_time) OVER d > INTERVAL 12 HOUR, true)
+                       AS fresh
               FROM valid WINDOW d AS (PARTITION BY device_id ORDER BY event_time)
             ), sessions AS (
               SELECT *, sum(fresh::INT) OVER (PARTITION BY device_id ORDER BY event_time) AS session

@@ -68,6 +68,19 @@ def replay_watermark(
     return replayed.withColumn("is_dropped", F.coalesce(closed, F.lit(False)))
 
 
-def late_rows(events: DataFrame, *args, **options) -> DataFrame:
-    """Only the late rows of :func:`replay_watermark`; takes the same arguments."""
-    return replay_watermark(events, *args, **options).where("is_late")
+def late_rows(
+    events: DataFrame,
+    trigger_interval: str,
+    watermark_delay: str,
+    arrival_col: str = "arrival_time",
+    time_col: str = "event_time",
+) -> DataFrame:
+    """The rows that arrived behind the watermark, with the watermark they met."""
+    replayed = replay_watermark(
+        events,
+        trigger_interval,
+        watermark_delay,
+        arrival_col=arrival_col,
+        time_col=time_col,
+    )
+    return replayed.where("is_late").drop("is_late")

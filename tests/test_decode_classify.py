@@ -121,7 +121,11 @@ def test_reason(outcomes, what, text, reason):
 ABSENT = object()
 FIELDS = {
     # value -> the reason it gives, in order of precedence of the fields
-    "device_id": [("dev-0000abcd", None), (ABSENT, "missing_device_id"), (None, "missing_device_id")],
+    "device_id": [
+        ("dev-0000abcd", None),
+        (ABSENT, "missing_device_id"),
+        (None, "missing_device_id"),
+    ],
     "timestamp": [
         ("2026-07-29T10:00:00.000Z", None),
         ("2026-07-29T10:00:00Z", None),

@@ -47,8 +47,14 @@ class Feed:
     def step(self, *readings):
         lines = [
             json.dumps(
-                {"device_id": device, "event_time": f"2026-07-29T{at}", "metric_type": "temperature",
-                 "value": float(value), "site_id": "site-01", "firmware_version": "1.4.2"}
+                {
+                    "device_id": device,
+                    "event_time": f"2026-07-29T{at}",
+                    "metric_type": "temperature",
+                    "value": float(value),
+                    "site_id": "site-01",
+                    "firmware_version": "1.4.2",
+                }
             )
             for device, at, value in readings
         ]
@@ -134,8 +140,9 @@ def test_replay_agrees_with_the_stream(spark, streams, tmp_path):
 
 
 def message(at, device=DEVICE, value=50.0):
+    stamp = f"2026-07-29T{at}Z"
     return json.dumps(
-        {"device_id": device, "timestamp": f"2026-07-29T{at}Z", "metric_type": "battery", "value": value}
+        {"device_id": device, "timestamp": stamp, "metric_type": "battery", "value": value}
     )
 
 
@@ -211,10 +218,8 @@ def test_quiet_signals(streams, tmp_path):
     feed = Feed(streams, tmp_path, lambda s: quiet_signals(s, "5 minutes", "1 minute"))
     assert feed.step(("a", "10:00:10", 1), ("b", "10:00:20", 1), ("a", "10:04:00", 1)) == []
     rows = feed.step(("b", "10:07:00", 1), ("b", "10:11:00", 1))
-    assert [(r.device_id, r.active_from.minute, r.quiet_from.minute, r.event_count) for r in rows] == [
-        ("a", 0, 4, 2),
-        ("b", 0, 0, 1),
-    ]
+    got = [(r.device_id, r.active_from.minute, r.quiet_from.minute, r.event_count) for r in rows]
+    assert got == [("a", 0, 4, 2), ("b", 0, 0, 1)]
 
 
 def test_stream_equals_table(spark, streams, tmp_path):
@@ -265,7 +270,9 @@ def test_upserts_are_idempotent(spark, tmp_path):
 
 def test_progress_log(spark, streams, tmp_path):
     (tmp_path / "feed").mkdir()
-    feed = Feed(streams, tmp_path / "feed", lambda s: windowed_aggregates(s, "1 minute", "1 minute"))
+    feed = Feed(
+        streams, tmp_path / "feed", lambda s: windowed_aggregates(s, "1 minute", "1 minute")
+    )
     feed.step((DEVICE, "10:00:10", 10), (DEVICE, "10:05:40", 20))
     assert sum(feed.last("input_rows")) == 2
     assert feed.last("state_rows")[-1] == 1
@@ -299,7 +306,8 @@ def test_processing_time_trigger(spark, streams, tmp_path):
 
 def test_settings():
     assert JobSettings.from_environment({}) == JobSettings()
-    given = JobSettings.from_environment({"KAFKA_TOPIC": "t", "WINDOW_DURATION": "5 minutes", "X": "1"})
+    environment = {"KAFKA_TOPIC": "t", "WINDOW_DURATION": "5 minutes", "X": "1"}
+    given = JobSettings.from_environment(environment)
     assert (given.kafka_topic, given.window_duration) == ("t", "5 minutes")
     assert given.watermark_delay == "2 minutes"
 

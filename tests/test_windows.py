@@ -95,9 +95,8 @@ def test_sliding_windows_overlap(spark):
 
 
 def test_mean_is_rounded_and_bounds_are_not(spark):
-    df = readings(
-        spark, *[("dev-aaaa1111", f"10:00:0{i}", "battery", v) for i, v in enumerate((0, 0, 0.12345))]
-    )
+    values = enumerate((0, 0, 0.12345))
+    df = readings(spark, *[("dev-aaaa1111", f"10:00:0{i}", "battery", v) for i, v in values])
     (row,) = windowed_aggregates(df).collect()
     assert (row.avg_value, row.min_value, row.max_value) == (0.041, 0.0, 0.12345)
 
