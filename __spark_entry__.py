@@ -560,9 +560,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sliding=sliding,
         sliding_panes=sliding_panes,
     )
+    for module in _training_data():
+        named.update(module.queries())
     return named
 
 
+def _training_data() -> list:
+    """The modules with further queries, or none where that subpackage is left out."""
+    try:
+        import corpus_pipeline
+        from sensorloom.llm import queries as operators
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "sensorloom.llm", "sensorloom.llm.queries"):
+            raise
+        return []
+    return [operators, corpus_pipeline]
+
+
 # --------------------------------------------------------------------------
 # The same as SQL.  Nothing below reads JSON: faults come from the event id.
 
@@ -874,4 +888,7 @@ def oracle_sql() -> dict[str, str]:
         "upserts": _window_sql(_DAY),
     }
     plain = {"foreign_text"}
-    return {name: ("" if name in plain else _TELEMETRY) + body for name, body in bodies.items()}
+    sql = {name: ("" if name in plain else _TELEMETRY) + body for name, body in bodies.items()}
+    for module in _training_data():
+        sql.update(module.oracle_sql())
+    return sql

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,16 +62,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder that all executors can reach.
 
     It lies below ``spark.checkpoint.dir``, or else the checkpoint folder of the
-    context.  Only a local master may do without; it gets a temporary folder.
+    context, or else the warehouse, which a cluster shares as well.
     """
-    context = spark.sparkContext
     shared = (
         spark.conf.get("spark.checkpoint.dir", None)
-        or context.getConf().get("spark.checkpoint.dir")
-        or context.getCheckpointDir()
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
     )
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{shared.rstrip('/')}/sensorloom/{purpose}-{uuid.uuid4().hex}"

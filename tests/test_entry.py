@@ -17,11 +17,18 @@ def con():
     return connect(SF_DIR)
 
 
+OWN = {
+    name
+    for name, query in entry.queries().items()
+    if ".llm." not in query.__module__ and query.__module__ != "corpus_pipeline"
+}
+
+
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert OWN <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query(spark, con, name):
     names, rows = rows_of_spark(entry.queries()[name](spark, SF_DIR))
     sql_names, sql_rows = rows_of_sql(con, entry.oracle_sql()[name])
