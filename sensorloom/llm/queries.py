@@ -4,26 +4,95 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import minhash_forest
+from sensorloom.llm import (
+    byte_bpe,
+    feistel,
+    language,
+    minhash_forest,
+    mixing,
+    one_bit,
+    p_stable,
+    personal_data,
+    quality,
+    repeated_units,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among the vectors of each label, at a cosine of 0.98."""
+    return p_stable.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op2_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies by 2-word shingles at a similarity of 0.8."""
     return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data."""
+    return personal_data.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each text and what they decode to, as digests."""
+    return byte_bpe.digests(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.plan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each text, learnt from the documents that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    return language.predicted(documents, language.train(documents))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and probability of the highest grade of each text."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = quality.scored(documents, quality.train(documents, quality.grades(labels)))
+    return scored.withColumn("selected", F.col("tail_probability") >= 0.5)
+
+
+def op8_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document, of 40 shards."""
+    return feistel.sharded(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op9_one_bit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of each whose id is divisible by 100."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return one_bit.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of each document, with their places."""
+    return repeated_units.report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_minhash_forest": op2_minhash_forest,
-    }
+    every = (
+        op1_p_stable, op2_minhash_forest, op3_personal_data, op4_byte_bpe, op5_mixing, op6_language,
+        op7_quality, op8_feistel, op9_one_bit, op10_repeated_units,
+    )
+    return {query.__name__: query for query in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_feistel": feistel.sharded_sql(shards=40)}
