@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 
 LONG = 256
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 _NONE = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E37_79B9_7F4A_7C15)
 _ASCII = {r"\p{L}": "a-zA-Z", r"\p{N}": "0-9"}
@@ -98,7 +99,8 @@ class ByteBpe:
 
     def __init__(self, tokens: list[bytes], pattern: str) -> None:
         self.tokens = tokens
-        self.decimals = [str(i) for i in range(len(tokens))]
+        self.numbers = list(range(len(tokens)))
+        self.decimals = [str(i) for i in self.numbers]
         ids = {token: i for i, token in enumerate(tokens)}
         self.of_byte = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(tokens)
@@ -129,17 +131,15 @@ class ByteBpe:
     def encode(self, texts: Iterable[str]) -> Iterator[list[int]]:
         """Ids of each text."""
         split = [self.pieces(text) for text in texts]
+        wanted = set().union(*split)
         if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        missing = list(set().union(*split) - self.cache.keys())
+            self.cache = {piece: self.cache[piece] for piece in wanted & self.cache.keys()}
+        missing = list(wanted - self.cache.keys())
         encoded = self._merge_all([piece.encode() for piece in missing])
         self.cache.update(zip(missing, encoded, strict=True))
-        known = self.cache
+        known = self.cache.__getitem__
         for pieces in split:
-            ids: list[int] = []
-            for piece in pieces:
-                ids += known[piece]
-            yield ids
+            yield list(chain.from_iterable(map(known, pieces)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -192,7 +192,11 @@ class ByteBpe:
                 here = here[rows]
                 part[rows, here] = self.pairs.look_up(moved[rows, here], moved[rows, here + 1])
             ids[live], ranks[live] = moved, part
-        return [tuple(row[:n]) for row, n in zip(ids.tolist(), lengths.tolist(), strict=True)]
+        number = self.numbers.__getitem__  # one object for each id, however often it is held
+        return [
+            tuple(map(number, row[:n]))
+            for row, n in zip(ids.tolist(), lengths.tolist(), strict=True)
+        ]
 
     def _merge_long(self, piece: bytes) -> tuple[int, ...]:
         raw = np.frombuffer(piece, np.uint8)

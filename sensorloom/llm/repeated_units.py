@@ -31,6 +31,8 @@ LONG = 48
 #: One word in so many ends a part of a long unit.
 CUT = np.uint64(16)
 LEAST_WORDS = 25
+#: More than any text has units.
+PLACES = 2**31
 
 _FACTOR = np.uint64(0xBF58_476D_1CE4_E5B9)
 _BACK = np.uint64(pow(int(_FACTOR), -1, 2**64))
@@ -123,17 +125,24 @@ def repeated_runs(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataF
     occurrence.  Null ids and null texts have no units.
     """
     units = saved(cut(documents), "units")
+    # The rank as one number: the minimum is then a hash aggregate that meets map-side.
+    rank = F.col("doc_id").cast("decimal(20,0)") * PLACES + F.col("place")
     firsts = units.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")
-    ).filter("n > 1").drop("n")
-    later = units.join(firsts, "digest").filter(F.struct("doc_id", "place") != F.col("first"))
+        F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")
+    ).filter("n > 1")
+    # Stored, so that both sides of the join are dealt anew and a frequent unit can be split.
+    firsts = saved(
+        firsts.select("digest", "first", F.floor(F.col("first") / PLACES).cast("long").alias("source")),
+        "first_units",
+    )
+    later = units.join(firsts, "digest").filter(rank != F.col("first"))
     order = Window.partitionBy("doc_id").orderBy("place")
     run = F.col("place") - F.dense_rank().over(order)
     return (
         later.withColumn("run", run)
         .groupBy("doc_id", "run", "place")
         .agg(F.first("words").alias("words"), F.min("begin").alias("begin"),
-             F.max("end").alias("end"), F.min("first.doc_id").alias("source"))
+             F.max("end").alias("end"), F.min("source").alias("source"))
         .groupBy("doc_id", "run")
         .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("words").alias("words"),
              F.array_sort(F.collect_set("source")).alias("first_docs"))
