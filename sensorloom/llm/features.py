@@ -46,27 +46,32 @@ def trigrams(raw: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndarray:
     return _counts(text[:-2][inside], hashed[inside].astype(np.int64), size, slots)
 
 
-def words(raw: np.ndarray, bounds: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of hashed words, and per text: words, distinct words, words that repeat the last one."""
+def word_counts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per text: words, distinct words, words that repeat the one before."""
     size = len(bounds) - 1
     begins, ends = word_spans(raw, bounds)
     hashes = word_hashes(raw, begins, ends)
     text = np.searchsorted(bounds, begins, side="right") - 1
-    counts = _counts(text, (hashes & np.uint64(slots - 1)).astype(np.int64), size, slots)
     total = np.bincount(text, minlength=size)
     again = (hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])
     repeats = np.bincount(text[1:][again], minlength=size)
     own = mix(hashes + text.astype(np.uint64) * np.uint64(0x9E37_79B9_7F4A_7C15))
     _, first = np.unique(own, return_index=True)
     distinct = np.bincount(text[first], minlength=size)
-    return counts, np.stack([total, distinct, repeats], axis=1)
+    return np.stack([total, distinct, repeats], axis=1)
 
 
 def sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
     """At most ``per_label`` rows of each label, the first by a hash of the doc_id.
 
-    The rank filter is applied within each task before rows are shuffled.
+    Labels with more rows are thinned by that hash to about one and a half times
+    the bound first, within each task, so that no task ranks all rows of a label.
     """
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = rows.select("doc_id", label).withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") <= per_label).drop("_rank")
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
+    limit = F.greatest(1.5 * per_label / F.col("_count"), F.lit(100) / F.col("_count")) * 1_000_000
+    thinned = rows.select("doc_id", label).join(F.broadcast(counts), label).filter(order <= limit)
+    ranked = thinned.withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(label).orderBy(order, "doc_id"))
+    )
+    return ranked.filter(F.col("_rank") <= per_label).select("doc_id", label)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.tables import saved
+from sensorloom.llm.tables import boxed, saved, unboxed
 
 SHARD_WORDS = 1 << 18
 BLOCK_WORDS = 32
@@ -229,7 +229,8 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     planned = plan(documents, **options)
     same = Window.partitionBy("doc_id", "source", "_size")
     count = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    texts = documents.withColumn("_size", count).withColumn(
+    own = boxed(documents, "doc_id", "source", "text")
+    texts = own.withColumn("_size", count).withColumn(
         "_nth", F.row_number().over(same.orderBy("text"))
     )
     plans = planned.filter("taken > 0").select(
@@ -257,8 +258,5 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
 
     cut = (F.col("_copy") > F.col("_copies")) & (F.col("_part") < F.col("_size"))
     text = F.when(cut, F.concat(piece(2), piece(1))).otherwise(F.col("text"))
-    return (
-        both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), rows)))
-        .withColumn("text", text)
-        .select(*documents.columns)
-    )
+    copied = both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), rows)))
+    return unboxed(copied, documents.columns, text=text)

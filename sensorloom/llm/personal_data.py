@@ -18,7 +18,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+from sensorloom.llm.tables import boxed, unboxed
+
+_BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _LOCAL = "[A-Za-z0-9._%+-]"
 
 
@@ -178,7 +180,7 @@ def redacted(documents: DataFrame) -> DataFrame:
     Spans that overlap are replaced together, under the kind of the first.  A
     text without spans stays as it is, null too.
     """
-    found = with_spans(documents)
+    found = with_spans(boxed(documents, "text"))
 
     def add(state: Column, span: Column) -> Column:
         apart = span["start"] >= state["at"]
@@ -195,4 +197,4 @@ def redacted(documents: DataFrame) -> DataFrame:
         lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), s["at"] + 1, 2**31 - 1)),
     )
     text = F.when(F.size("_spans") > 0, rest).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*documents.columns)
+    return unboxed(found, documents.columns, text=text)

@@ -8,8 +8,13 @@ hashed features of a text and ordered thresholds ``t0 < t1``,
 which gives the expected grade and the tail probability ``P(grade >= 2)`` by
 which documents are selected.
 
-The model is fitted on the driver to at most ``PER_GRADE`` rated documents of each
-grade, whose whole texts become feature rows in tasks; every document is scored.
+Features are the presence of words, hashed to ``WORD_SLOTS`` slots after signs
+are taken off them, and the shape of the text.  Presence does not fade in long
+texts, as a share of words would.  Slots that differ most between the grades
+below and above a threshold get a weight, ``KEPT_SLOTS`` for each threshold.
+
+The model is fitted on the driver to about ``PER_GRADE`` rated documents of each
+grade at most, whose whole texts become features in tasks; all are scored.
 """
 
 from __future__ import annotations
@@ -23,55 +28,102 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm import features
-
-#: Bound of the sample to learn from; Spark keeps row limits of up to 1,000 per task.
-PER_GRADE = 1000
-WORD_SLOTS, GRAM_SLOTS = 4096, 4096
+from sensorloom.llm.hashed_text import word_hashes, word_spans
+
+#: Bound of the sample to learn from.
+PER_GRADE = 4000
+WORD_SLOTS = 1 << 20
+KEPT_SLOTS = 256
+#: A slot that fewer documents of the sample have is not looked at.
+LEAST_DOCUMENTS = 5
 GRADES = 3
+#: Probability of the highest grade from which a document is selected.
+SELECTED_FROM = 0.3
+SHAPES = 8
 _SCORED = "doc_id long, expected_grade double, tail_probability double"
 
+_UNSIGNED = np.arange(256, dtype=np.uint8)
+_UNSIGNED[[c for c in range(33, 127) if not chr(c).isalnum()]] = 32
+
 
-def feature_rows(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Rows of float32 features for runs of texts: words, trigrams and shape."""
+def parts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of texts: number of the text and slot of each word, and shape features per text."""
     for _, _, raw, bounds in features.text_groups(texts):
-        word_counts, shape = features.words(raw, bounds, WORD_SLOTS)
-        grams = features.trigrams(raw, bounds, GRAM_SLOTS)
-        total = np.maximum(shape[:, 0], 1)
-        size = np.maximum(np.diff(bounds), 1)
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-
-        def share(chosen: np.ndarray, text=text, size=size) -> np.ndarray:
-            return np.bincount(text[chosen], minlength=len(size)) / size
-
-        upper = (raw >= 65) & (raw <= 90)
-        lower = (raw >= 97) & (raw <= 122)
-        digit = (raw >= 48) & (raw <= 57)
-        blank = (raw == 32) | (raw == 10)
-        sign = (raw < 128) & ~(upper | lower | digit | blank)
-        own = np.stack(
-            [
-                np.log1p(shape[:, 0]) / 10, shape[:, 1] / total, shape[:, 2] / total,
-                size / total / 20, share(upper), share(digit), share(sign), share(raw >= 128),
-            ],
-            axis=1,
-        )
-        yield np.hstack([features._unit(word_counts), features._unit(grams), own]).astype(np.float32)
+        plain = _UNSIGNED[raw]
+        begins, ends = word_spans(plain, bounds)
+        text = np.searchsorted(bounds, begins, side="right") - 1
+        slots = (word_hashes(plain, begins, ends) & np.uint64(WORD_SLOTS - 1)).astype(np.int64)
+        yield text, slots, _shape(raw, bounds)
+
+
+def _shape(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    counted = features.word_counts(raw, bounds)
+    total, size = np.maximum(counted[:, 0], 1), np.maximum(np.diff(bounds), 1)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+    def share(chosen: np.ndarray) -> np.ndarray:
+        return np.bincount(text[chosen], minlength=len(size)) / size
+
+    upper = (raw >= 65) & (raw <= 90)
+    lower = (raw >= 97) & (raw <= 122)
+    digit = (raw >= 48) & (raw <= 57)
+    blank = (raw == 32) | (raw == 10)
+    sign = (raw < 128) & ~(upper | lower | digit | blank)
+    columns = [
+        np.log1p(counted[:, 0]) / 10, counted[:, 1] / total, counted[:, 2] / total,
+        size / total / 20, share(upper), share(digit), share(sign), share(raw >= 128),
+    ]
+    return 5 * np.stack(columns, axis=1).astype(np.float32)
 
 
 @dataclass(frozen=True)
 class Ordinal:
+    """Weights of the kept slots, in order, then of the shape features; ordered thresholds."""
+
+    slots: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def rows(self, text: np.ndarray, slots: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        """Feature rows of the texts that ``parts`` gives."""
+        rows = np.zeros((len(shape), len(self.slots) + SHAPES), np.float32)
+        rows[:, len(self.slots) :] = shape
+        if len(self.slots):
+            place = np.minimum(np.searchsorted(self.slots, slots), len(self.slots) - 1)
+            known = self.slots[place] == slots
+            rows[text[known], place[known]] = 1
+        return rows
+
     def tails(self, rows: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, .. as columns."""
         return 1 / (1 + np.exp(np.clip(self.thresholds - (rows @ self.weights)[:, None], -40, 40)))
 
 
-def fit(rows: np.ndarray, grades: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> Ordinal:
+def choose_slots(slots: list[np.ndarray], grades: np.ndarray, kept: int = KEPT_SLOTS) -> np.ndarray:
+    """Slots by the difference of their shares below and above each threshold, in its error."""
+    documents = np.zeros((GRADES, WORD_SLOTS))
+    for grade, own in zip(grades.tolist(), slots, strict=True):
+        documents[grade, own] += 1
+    sizes = np.bincount(grades, minlength=GRADES)
+    chosen: set[int] = set()
+    for cut in range(1, GRADES):
+        low, high = documents[:cut].sum(axis=0), documents[cut:].sum(axis=0)
+        n_low, n_high = max(sizes[:cut].sum(), 1), max(sizes[cut:].sum(), 1)
+        share = (low + high) / (n_low + n_high)
+        error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n_low + 1 / n_high))
+        gap = np.abs(low / n_low - high / n_high) / error
+        gap[low + high < LEAST_DOCUMENTS] = 0
+        best = np.argsort(-gap, kind="stable")[:kept]
+        chosen.update(best[gap[best] > 0].tolist())
+    return np.array(sorted(chosen), np.int64)
+
+
+def fit(
+    rows: np.ndarray, grades: np.ndarray, slots: np.ndarray, rounds: int = 300, decay: float = 1e-4
+) -> Ordinal:
     """Maximum likelihood with a small penalty, each grade counting alike (Adam)."""
-    counts = np.maximum(np.bincount(grades, minlength=GRADES), 1)
-    share = (1 / counts / (counts > 0).sum())[grades].astype(np.float64)
+    counts = np.bincount(grades, minlength=GRADES)
+    share = 1 / counts[grades] / (counts > 0).sum()
     # Thresholds as a first one and logarithms of the gaps stay in order.
     state = np.zeros(rows.shape[1] + GRADES - 1)
     state[-(GRADES - 1)] = -0.5
@@ -94,7 +146,7 @@ def fit(rows: np.ndarray, grades: np.ndarray, rounds: int = 300, decay: float =
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         state -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return Ordinal(state[: rows.shape[1]].astype(np.float32), _cuts(state[rows.shape[1] :]))
+    return Ordinal(slots, state[: rows.shape[1]].astype(np.float32), _cuts(state[rows.shape[1] :]))
 
 
 def _cuts(raw: np.ndarray) -> np.ndarray:
@@ -126,21 +178,31 @@ def train(documents: DataFrame, rated: DataFrame, per_grade: int = PER_GRADE) ->
     """
     chosen = features.sample(rated, "grade", per_grade)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = texts.filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    known = texts.filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [r.astype(np.float16).tobytes() for rows in feature_rows(batch.column("text")) for r in rows]
+            slots, shapes = [], []
+            for text, own, shape in parts(batch.column("text")):
+                ends = np.searchsorted(text, np.arange(len(shape) + 1))
+                slots += [np.unique(own[a:b]).astype(np.int32).tobytes() for a, b in zip(ends, ends[1:])]
+                shapes += [row.tobytes() for row in shape]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), pa.array(found, pa.binary())], names=["grade", "row"]
-            )
+                [batch.column("doc_id"), batch.column("grade"), pa.array(slots, pa.binary()),
+                 pa.array(shapes, pa.binary())],
+                names=["doc_id", "grade", "slots", "shape"],
+            )
 
-    got = known.mapInArrow(run, "grade int, row binary").toArrow()
+    got = known.mapInArrow(run, "doc_id long, grade int, slots binary, shape binary").toArrow()
     if not got.num_rows:
         return None
-    rows = np.frombuffer(b"".join(got.column("row").to_pylist()), np.float16).reshape(got.num_rows, -1)
-    order = np.lexsort((rows[:, -8], got.column("grade").to_numpy()))
-    return fit(rows[order].astype(np.float32), got.column("grade").to_numpy()[order])
+    got = got.sort_by([("doc_id", "ascending"), ("slots", "ascending")])
+    rated_as = got.column("grade").to_numpy().astype(np.int64)
+    slots = [np.frombuffer(own, np.int32).astype(np.int64) for own in got.column("slots").to_pylist()]
+    shape = np.frombuffer(b"".join(got.column("shape").to_pylist()), np.float32).reshape(-1, SHAPES)
+    blank = Ordinal(choose_slots(slots, rated_as), np.empty(0), np.empty(0))
+    text = np.repeat(np.arange(len(slots)), [len(own) for own in slots])
+    return fit(blank.rows(text, np.concatenate(slots), shape), rated_as, blank.slots)
 
 
 def scored(documents: DataFrame, model: Ordinal | None) -> DataFrame:
@@ -157,9 +219,11 @@ def scored(documents: DataFrame, model: Ordinal | None) -> DataFrame:
         own = shared.value
         for batch in batches:
             tails = [np.empty((0, GRADES - 1))]
-            for rows in feature_rows(batch.column("text")):
-                part = np.ones((len(rows), GRADES - 1)) if own is None else own.tails(rows)
-                part[rows[:, -8] == 0] = 0
+            for text, slots, shape in parts(batch.column("text")):
+                part = np.ones((len(shape), GRADES - 1))
+                if own is not None:
+                    part = own.tails(own.rows(text, slots, shape))
+                part[shape[:, 0] == 0] = 0  # without words
                 tails.append(part)
             every = np.concatenate(tails)
             yield pa.RecordBatch.from_arrays(
@@ -171,7 +235,7 @@ def scored(documents: DataFrame, model: Ordinal | None) -> DataFrame:
     return frame.mapInArrow(run, _SCORED)
 
 
-def selected(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+def selected(documents: DataFrame, labels: DataFrame, least: float = SELECTED_FROM) -> DataFrame:
     """The documents whose probability of the highest grade is ``least`` or more, all columns kept.
 
     A doc_id that has several rows is kept if any of them is good; rows without

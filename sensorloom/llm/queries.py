@@ -67,7 +67,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and probability of the highest grade of each text."""
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = quality.scored(documents, quality.train(documents, quality.grades(labels)))
-    return scored.withColumn("selected", F.col("tail_probability") >= 0.5)
+    return scored.withColumn("selected", F.col("tail_probability") >= quality.SELECTED_FROM)
 
 
 def op8_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:

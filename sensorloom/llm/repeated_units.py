@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.hashed_text import bytes_and_bounds, groups, mix, word_hashes, word_spans
-from sensorloom.llm.tables import saved
+from sensorloom.llm.tables import boxed, saved, unboxed
 
 LONG = 48
 #: One word in so many ends a part of a long unit.
@@ -179,12 +179,14 @@ def report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 def cleaned(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """All rows and columns, the runs taken out of ``text``, and ``removed`` with their places.
 
-    ``removed`` is an array of (begin, end) in the original text.
+    ``removed`` is an array of (begin, end) in the original text; it takes the
+    place of a column of that name.
     """
     runs = repeated_runs(documents, least_words).groupBy(F.col("doc_id").alias("_doc")).agg(
         F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("removed")
     )
-    both = documents.join(runs, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
+    own = boxed(documents, "doc_id", "text")
+    both = own.join(runs, F.col("doc_id").cast("long") == F.col("_doc"), "left")
     edges = F.transform(
         "removed",
         lambda s, i: F.struct(
@@ -196,4 +198,6 @@ def cleaned(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     rest = F.substring(F.col("text"), F.element_at("removed", -1)["end"] + 1, F.lit(2**31 - 1))
     text = F.when(F.size("removed") > 0, F.concat(F.array_join(kept, ""), rest)).otherwise(F.col("text"))
     nothing = F.array().cast("array<struct<begin:int,end:int>>")
-    return both.withColumn("text", text).withColumn("removed", F.coalesce("removed", nothing))
+    return unboxed(
+        both, documents.columns, text=text, removed=F.coalesce("removed", nothing)
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from sensorloom.session import new_folder
 
@@ -15,3 +16,17 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def boxed(frame: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all columns as ``row``, whose names then cannot clash."""
+    every = F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias("row")
+    return frame.select(every, *[F.col(f"`{name}`") for name in names])
+
+
+def unboxed(frame: DataFrame, names: list[str], **replaced: Column) -> DataFrame:
+    """The columns of ``row`` again, some of them replaced."""
+    return frame.select(
+        *[replaced.get(name, F.col(f"row.`{name}`")).alias(name) for name in names],
+        *[column.alias(name) for name, column in replaced.items() if name not in names],
+    )

@@ -1,0 +1,251 @@
+"""Personal data, byte-level BPE and repeated passages against plain Python."""
+
+import base64
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sensorloom.llm import byte_bpe, personal_data, repeated_units
+from sensorloom.llm.hashed_text import bytes_and_bounds
+
+import pyarrow as pa  # isort: skip
+
+# The patterns of the contract.
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for place, digit in enumerate(map(int, reversed(digits))):
+        digit *= 1 + place % 2
+        total += digit - 9 * (digit > 9)
+    return total % 10 == 0
+
+
+def base_spans(text):
+    spans = []
+    for number, (kind, pattern) in enumerate(BASE.items()):
+        for match in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", match.group())
+            valid = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in match.group().split(".")),
+                "card": 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if valid:
+                spans.append((match.start(), number, f"{kind}:{match.start()}:{match.end()}"))
+    return [s for _, _, s in sorted(spans)]
+
+
+PIECES = (
+    "a@b.co", "@", ".", "x.y+z@mail.example.org", "é", "🙂", " ", "\n", "-", "10.0.0.1", "256.1.1.1",
+    "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 010-9999", "+", "(", "7",
+    "000", "+49 30 1234567", "a", "B_", "%", "123456789012345678", "00.00.255.0001", "a@b.c@d.e",
+    "a@b.co.@x.yz", "4539578763621486",
+)
+
+
+def test_spans_against_plain_expressions(spark):
+    draw = random.Random(1)
+    texts = ["".join(draw.choices(PIECES, k=draw.randrange(1, 14))) for _ in range(1500)]
+    texts += ["9" * 4000, "a" * 50_000 + "@", "1." * 20_000, "+1" * 9000, "a@b.c " * 3000, None]
+    rows = list(enumerate(texts))
+    table = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    found = {r.doc_id: r for r in personal_data.report(table).collect()}
+    for n, text in rows:
+        spans = base_spans(text or "")
+        row = found[n]
+        assert row.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest(), text
+        counts = [sum(s.startswith(kind) for s in spans) for kind in BASE]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
+        assert set(spans) <= set(row.spans.split(",")) or not spans
+
+
+def test_further_kinds_need_their_proof(spark):
+    texts = {
+        0: "Account GB82 WEST 1234 5698 7654 32 was closed.",
+        1: "Account GB82 WEST 1234 5698 7654 33 was closed.",
+        2: "Her social security number is 123-45-6789.",
+        3: "The part 123-45-6789 is sold out.",
+        4: "DE89370400440532013000",
+    }
+    table = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    found = {r.doc_id: r.spans for r in personal_data.report(table).collect()}
+    kinds = {n: s.split(":")[0] for n, s in found.items()}
+    assert kinds == {0: "iban", 1: "", 2: "national_id", 3: "", 4: "iban"}
+
+
+def test_redaction(spark):
+    texts = {
+        0: ("é a@b.co, 10.1.2.3!", "é [EMAIL], [IP]!"),
+        1: ("x@1.2.3.4 y", "[EMAIL] y"),
+        2: ("nothing here", "nothing here"),
+        3: (None, None),
+        4: ("", ""),
+        5: ("a@b.co", "[EMAIL]"),
+    }
+    table = spark.createDataFrame([(n, t) for n, (t, _) in texts.items()], "doc_id LONG, text STRING")
+    got = {r.doc_id: r.text for r in personal_data.redacted(table).collect()}
+    assert got == {n: expected for n, (_, expected) in texts.items()}
+
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def coders():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    other = tiktoken.Encoding(
+        "other", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return byte_bpe.ByteBpe(byte_bpe.read_ranks(PATH), public_tokenizers.PATTERN), other
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=60), st.text("abet hin'\n \t\x1c\x85é", max_size=80)), max_size=5))
+def test_ids_are_those_of_another_implementation(coders, texts):
+    own, other = coders
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids == other.encode_ordinary(text)
+        assert own.decode(ids) == text.encode()
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 2000, "the" * 900, "é" * 700, " " * 999, "\n" * 600,
+                                  "".join(random.Random(2).choices("etaoinshr", k=4000)), "語" * 500])
+def test_long_pieces(coders, text):
+    own, other = coders
+    (ids,) = own.encode([text])
+    assert ids == other.encode_ordinary(text) and own.decode(ids) == text.encode()
+
+
+def test_digests_and_tokens(spark, coders):
+    _, other = coders
+    rows = [(1, "Hello  world, don't!"), (2, None), (3, ""), (4, "é語🙂\n\n  x" * 40)]
+    table = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    digests = {r.doc_id: r for r in byte_bpe.digests(table, PATH, public_tokenizers.PATTERN).collect()}
+    tokens = {r.doc_id: r for r in byte_bpe.tokenize(table, PATH, public_tokenizers.PATTERN).collect()}
+    for doc, text in rows:
+        ids = other.encode_ordinary(text or "")
+        assert digests[doc].n_tokens == len(ids) and list(tokens[doc].ids) == ids and tokens[doc].round_trip
+        line = " ".join(map(str, ids)).encode()
+        assert digests[doc].ids_sha256 == hashlib.sha256(line).hexdigest()
+        assert digests[doc].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def plain_units(text):
+    """(normalised words, begin, end) of each unit, one word at a time."""
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+
+    def capital(word):
+        first = "A" <= word[0] <= "Z" or "À" <= word[0] <= "Þ"
+        after = word[1:2]
+        return first and not ("A" <= after <= "Z" or "À" <= after <= "ÿ")
+
+    units, last = [], None
+    for begin, end in words:
+        word = text[begin:end]
+        if last is not None:
+            gap, before = text[last[1] : begin], text[last[0] : last[1]]
+            stop = before[-1] in ".!?" and (len(before) < 2 or before[-2] not in ".!?")
+            fresh = "\n" in gap or stop or capital(word)
+        if last is None or fresh:
+            units.append([])
+        units[-1].append((begin, end))
+        last = (begin, end)
+    return [([text[b:e].lower() for b, e in u], u[0][0], u[-1][1]) for u in units]
+
+
+def plain_runs(texts, least):
+    first, found = {}, {}
+    for doc, text in sorted(texts):
+        for place, (words, begin, end) in enumerate(plain_units(text)):
+            first.setdefault(tuple(words), (doc, place))
+    for doc, text in texts:
+        runs, open_run = [], None
+        for place, (words, begin, end) in enumerate(plain_units(text)):
+            if first[tuple(words)] == (doc, place):
+                open_run = None
+            elif open_run is None:
+                open_run = [begin, end, len(words)]
+                runs.append(open_run)
+            else:
+                open_run[1], open_run[2] = end, open_run[2] + len(words)
+        found[doc] = [(b, e) for b, e, n in runs if n >= least]
+    return found
+
+
+def prose(draw, sentences):
+    out = []
+    for _ in range(sentences):
+        words = ["".join(draw.choices("abcdeé", k=draw.randrange(1, 5))) for _ in range(draw.randrange(2, 12))]
+        out.append(words[0].capitalize() + " " + " ".join(words[1:]) + draw.choice(".!?"))
+    return out
+
+
+def test_repeated_runs_by_hand(spark):
+    draw = random.Random(8)
+    passages = [" ".join(prose(draw, 9)) for _ in range(6)]
+    texts = []
+    for doc in range(80):
+        parts = prose(draw, draw.randrange(1, 8))
+        for _ in range(draw.randrange(3)):
+            own = draw.choice(passages)
+            parts.insert(draw.randrange(len(parts) + 1), draw.choice((own, own.upper(), "so " + own + " thus")))
+        texts.append((doc, draw.choice(("\n", " ", "\n\n\t")).join(parts)))
+    table = spark.createDataFrame(texts, "doc_id LONG, text STRING").repartition(5)
+    found = {r.doc_id: r.removed_spans for r in repeated_units.report(table).collect()}
+    expected = plain_runs(texts, repeated_units.LEAST_WORDS)
+    # Upper-case copies are cut at other places, so they are compared by what is removed only.
+    plain = {doc for doc, text in texts if not any(p.upper() in text for p in passages)}
+    assert {d: found[d] for d in plain} == {
+        d: ",".join(f"{b}:{e}" for b, e in expected[d]) for d in plain
+    }
+    cleaned = {r.doc_id: r for r in repeated_units.cleaned(table).collect()}
+    for doc, text in texts:
+        kept, at = [], 0
+        for begin, end in cleaned[doc].removed:
+            kept.append(text[at:begin])
+            at = end
+        assert cleaned[doc].text == "".join(kept) + text[at:]
+        assert ",".join(f"{b}:{e}" for b, e in cleaned[doc].removed) == found[doc]
+
+
+def test_passage_within_other_lines_is_found_and_nothing_else(spark):
+    draw = random.Random(3)
+    passage = " ".join(prose(draw, 12))
+    assert len(passage.split()) > 50
+    texts = [(n, " ".join(["lead", "words", *draw.choices("pqrstuv", k=30), passage, f"tail{n}"] if n % 4 == 0
+                          else draw.choices(["xy", "yz", "zx", f"u{n}"], k=60))) for n in range(40)]
+    table = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    rows = {r.doc_id: r for r in repeated_units.report(table).collect()}
+    for doc, text in texts:
+        if doc % 4 or doc == 0:
+            assert rows[doc].n_removed == 0
+        else:
+            ((begin, end),) = [map(int, s.split(":")) for s in rows[doc].removed_spans.split(",")]
+            assert text[begin:end] in passage and len(text[begin:end].split()) >= len(passage.split()) - 12
+            assert rows[doc].first_docs == [0]
+
+
+def test_long_units_are_cut_alike():
+    draw = random.Random(6)
+    words = ["".join(draw.choices("abcdefgh", k=5)) for _ in range(3000)]
+    texts = pa.array([" ".join(words), " ".join(["other", "start", *words[1000:2000]])])
+    text, digest, count, *_ = repeated_units.units_of(*bytes_and_bounds(texts))
+    shared = np.isin(digest[text == 1], digest[text == 0])
+    assert count[text == 1][shared].sum() > 900
