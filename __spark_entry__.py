@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sensorloom as sl
+from sensorloom.contract import AGGREGATE_SCHEMA
 from sensorloom.functions.durations import interval
 from sensorloom.plans import reports
 from sensorloom.session import new_folder, stream_session
-from sensorloom.sources.streams import read_results, reading_lines_stream
+from sensorloom.sources.streams import envelope_stream, read_results, reading_lines_stream
 from sensorloom.streaming.job import JobSettings, start_queries
 from sensorloom.streaming.metrics import recent_progress
 from sensorloom.streaming.sinks import append_to_parquet
@@ -54,7 +55,9 @@ FAULT_CYCLE = 40
     ODD_ID,
     IN_ARRAY,
     EMPTY,
-) = range(14)
+    TWICE,
+    SINGLE_QUOTES,
+) = range(16)
 
 
 def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,14 +101,16 @@ def _messages(events: DataFrame) -> DataFrame:
         .alias("value"),
         F.concat(F.lit("site-0"), user % 10).alias("site_id"),
         F.concat(F.lit("1.4."), user % 5).alias("firmware_version"),
+        unless(tuple(k for k in range(FAULT_CYCLE) if k != EXTRA_PROPERTY), F.lit("ok"))
+        .alias("status"),
         fault.alias("fault"),
         (F.col("ts").cast("timestamp") + lag).alias("arrival_time"),
     )
 
-    def text(value: Column, *more: Column) -> Column:
+    def text(value: Column) -> Column:
         parts = ("site_id", "firmware_version")
         return F.to_json(
-            F.struct("device_id", "timestamp", "metric_type", value.alias("value"), *parts, *more)
+            F.struct("device_id", "timestamp", "metric_type", value.alias("value"), *parts)
         )
 
     plain = F.col("value")
@@ -113,13 +118,18 @@ def _messages(events: DataFrame) -> DataFrame:
         F.when(F.col("fault") == TEXT_VALUE, text(F.lit("N/A")))
         .when(F.col("fault") == CUT_SHORT, F.substring(text(plain), 1, 20))
         .when(F.col("fault") == QUOTED_VALUE, text(plain.cast("string")))
-        .when(F.col("fault") == EXTRA_PROPERTY, text(plain, F.lit("ok").alias("status")))
         .when(F.col("fault") == IN_ARRAY, F.concat(F.lit("["), text(plain), F.lit("]")))
         .when(F.col("fault") == EMPTY, F.lit(""))
+        .when(F.col("fault") == TWICE, F.concat(
+            F.regexp_replace(text(plain), r"\}$", ""), F.lit(',"site_id":"'), "site_id", F.lit('"}')
+        ))
+        .when(F.col("fault") == SINGLE_QUOTES, F.replace(text(plain), F.lit('"'), F.lit("'")))
+    )
+    prepared = fields.withColumn("payload", payload).withColumnRenamed("sender", "key")
+    sent = ("device_id", "timestamp", "metric_type", "value", "site_id", "firmware_version", "status")
+    return sl.encode(
+        prepared, key_col="key", payload_col="payload", keep=("arrival_time",), fields=sent
     )
-    prepared = fields.withColumn("payload", payload)
-    encoded = sl.encode(prepared, key_col="sender", payload_col="payload", keep=("arrival_time",))
-    return encoded
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,13 +221,14 @@ def foreign_text(spark, sf_dir):
     return refused.select("device_key", "error_reason", F.md5("raw_value").alias("text_hash"))
 
 
-def future_guard(spark, sf_dir):
+def _clocks_ahead(raw: DataFrame) -> DataFrame:
     """Arrival is set back by two days for one device in ten, whose clocks then run ahead."""
-    raw = messages(spark, sf_dir)
-    ahead = F.col("key").endswith("5")
-    early = F.when(ahead, F.col("arrival_time") - interval("2 days"))
-    skewed = raw.withColumn("arrival_time", F.coalesce(early, "arrival_time"))
-    guarded = _classified(skewed, future_tolerance="1 hour")
+    early = F.when(F.col("key").endswith("5"), F.col("arrival_time") - interval("2 days"))
+    return raw.withColumn("arrival_time", F.coalesce(early, "arrival_time"))
+
+
+def future_guard(spark, sf_dir):
+    guarded = _classified(_clocks_ahead(messages(spark, sf_dir)), future_tolerance="1 hour")
     return guarded.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -231,15 +242,30 @@ def dead_letters(spark, sf_dir):
 
 def whole_chain(spark, sf_dir):
     """All three tables of the chain, as totals that have to add up."""
-    tables = sl.telemetry_tables(messages(spark, sf_dir), "1 hour")
-    counted = [
-        tables["valid"].agg(F.count(F.lit(1)).alias("total")),
-        tables["dead_letter"].agg(F.count(F.lit(1)).alias("total")),
-        tables["aggregates"].agg(F.sum("event_count").alias("total")),
-    ]
-    names = ("valid", "dead_letter", "aggregated")
-    parts = [t.select(F.lit(n).alias("name"), "total") for n, t in zip(names, counted)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    raw = messages(spark, sf_dir)
+    routes = reports.route_totals(sl.classify(sl.decode(raw)))
+    aggregated = sl.telemetry_tables(raw, "1 hour")["aggregates"].agg(
+        F.sum("event_count").alias("total")
+    )
+    return routes.unionByName(aggregated.select(F.lit("aggregated").alias("name"), "total"))
+
+
+def guarded_chain(spark, sf_dir):
+    """The chain with the future guard on, against clocks that run ahead by two days."""
+    raw = _clocks_ahead(messages(spark, sf_dir))
+    tables = sl.telemetry_tables(
+        raw, "1 hour", arrival_col="arrival_time", future_tolerance="1 hour"
+    )
+    kept = tables["aggregates"].agg(F.sum("event_count").alias("n"))
+    return kept.select(F.lit("aggregated").alias("name"), "n").unionByName(
+        reports.reason_breakdown(tables["dead_letter"]).withColumnRenamed("error_reason", "name")
+    )
+
+
+def binary_envelope(spark, sf_dir):
+    """Messages as a broker hands them over: bytes, and no key."""
+    raw = messages(spark, sf_dir).select(F.encode("value", "UTF-8").alias("value"))
+    return _plain_times(sl.decode(raw))
 
 
 def _windows(duration: str, slide: str | None = None):
@@ -285,7 +311,8 @@ def recent_windows(spark, sf_dir):
 
 
 def recent_dead_letters(spark, sf_dir):
-    return reports.recent_dead_letters(_dead(spark, sf_dir), 20).drop("quarantined_at")
+    """The latest refused records, stamped with their arrival."""
+    return _plain_times(reports.recent_dead_letters(_stamped(spark, sf_dir), 20))
 
 
 def reason_breakdown(spark, sf_dir):
@@ -321,8 +348,12 @@ def quiet_devices_now(spark, sf_dir):
 
 
 def _arrivals(spark, sf_dir):
-    classified = _classified(messages(spark, sf_dir)).where("is_valid")
-    return classified.select("device_id", "metric_type", "value", "event_time", "arrival_time")
+    """Valid rows with their arrival time, stored once, so that the audit parses nothing."""
+    path = new_folder(spark, "arrivals")
+    valid = sl.valid_rows(_classified(messages(spark, sf_dir)), with_arrival=True)
+    valid.write.parquet(path)
+    columns = ("device_id", "metric_type", "value", "event_time", "arrival_time")
+    return spark.read.schema(valid.schema).parquet(path).select(*columns)
 
 
 def watermark_replay(spark, sf_dir):
@@ -335,10 +366,13 @@ def late_rows(spark, sf_dir):
     return _plain_times(late)
 
 
-def dead_letter_volume(spark, sf_dir):
+def _stamped(spark, sf_dir):
     refused = _classified(messages(spark, sf_dir)).where("NOT is_valid")
-    stamped = refused.withColumnRenamed("arrival_time", "quarantined_at")
-    return _plain_times(sl.dead_letter_volume(stamped, "6 hours"))
+    return refused.withColumnRenamed("arrival_time", "quarantined_at")
+
+
+def dead_letter_volume(spark, sf_dir):
+    return _plain_times(sl.dead_letter_volume(_stamped(spark, sf_dir), "6 hours"))
 
 
 def _rates(spark, sf_dir):
@@ -408,12 +442,55 @@ def stream_dead_letters(spark, sf_dir):
 
 def stream_dedup(spark, sf_dir):
     def build(classified):
-        once = sl.merge_copies(_with_copies(sl.valid_rows(classified)), "2 hours")
-        return sl.windowed_aggregates(once, "1 hour", "2 hours")
+        copied = _with_copies(sl.valid_rows(classified))
+        return sl.windowed_aggregates(copied, "1 hour", "2 hours", count_copies=False)
 
     return _closed(spark, sf_dir, build)[0]
 
 
+#: Days of arrival at which the message stream is cut into parts that come one by one.
+PART_DAYS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
+
+
+def _in_parts(spark, sf_dir, build):
+    """As ``_closed``, with messages that come in parts, over one checkpoint."""
+    session = stream_session(spark)
+    folder = new_folder(spark, "parts")
+    raw = messages(spark, sf_dir)
+    days = [F.lit(day).cast("timestamp") for day in PART_DAYS]
+    part = sum((F.col("arrival_time") >= day).cast("int") for day in days)
+    cut = raw.withColumn("part", part).repartition("part")
+    cut.write.partitionBy("part").parquet(f"{folder}/sent")
+    schema = "key STRING, value STRING, arrival_time TIMESTAMP"
+    for number in range(len(PART_DAYS) + 1):
+        whole = spark.read.schema(schema).parquet(f"{folder}/sent").where(F.col("part") == number)
+        whole.drop("part").write.mode("append").parquet(f"{folder}/inbox")
+        stream = envelope_stream(session, f"{folder}/inbox", schema)
+        append_to_parquet(
+            build(_classified(stream)), f"{folder}/table", f"{folder}/checkpoint", None
+        ).awaitTermination()
+    return _plain_times(read_results(spark, f"{folder}/table", AGGREGATE_SCHEMA))
+
+
+def stream_late_rows(spark, sf_dir):
+    """Late rows within the delay count in their window; those of closed windows are dropped."""
+
+    def build(classified):
+        return sl.windowed_aggregates(sl.valid_rows(classified), "1 hour", "10 minutes")
+
+    return _in_parts(spark, sf_dir, build)
+
+
+def stream_dedup_late(spark, sf_dir):
+    """Copies and late rows together: the same windows as those of distinct rows."""
+
+    def build(classified):
+        copied = _with_copies(sl.valid_rows(classified))
+        return sl.windowed_aggregates(copied, "1 hour", "10 minutes", count_copies=False)
+
+    return _in_parts(spark, sf_dir, build)
+
+
 def stream_first_copies(spark, sf_dir):
     def build(classified):
         return sl.drop_copies_within_watermark(_with_copies(sl.valid_rows(classified)), "2 hours")
@@ -457,9 +534,12 @@ def stream_two_queries(spark, sf_dir):
         checkpoint_path=f"{folder}/checkpoint",
         window_duration="1 day",
         watermark_delay="2 hours",
+        tables_by_date=True,
+        files_per_batch=2,
+        future_tolerance="1 hour",
     )
     raw = message_stream(session, sf_dir)
-    for query in start_queries(raw, settings, until_done=True, by_date=True):
+    for query in start_queries(raw, settings, until_done=True, arrival_col="arrival_time"):
         query.awaitTermination()
     aggregates = read_results(spark, settings.output_path)
     dead = read_results(spark, settings.dead_letter_path)
@@ -493,12 +573,15 @@ def stream_restart(spark, sf_dir):
 
 
 def upserts(spark, sf_dir):
-    """Day windows as an update-mode query hands them over: in part, then in full, then again."""
+    """Day windows as an update-mode query hands them over: hour by hour, with one compaction.
+
+    Batches 3 and 9 are written again, before and after the compaction.
+    """
     valid = _valid(spark, sf_dir)
     folder = new_folder(spark, "upserts")
-    write = upsert_writer(folder)
-    early = valid.where(F.hour("event_time") < 12)
-    for batch_id, seen in ((0, early), (1, valid), (1, valid)):
+    write = upsert_writer(folder, files_per_batch=2, compact_every=6)
+    for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 3, 9):
+        seen = valid.where(F.hour("event_time") * 10 < 24 * (batch_id + 1))
         write(sl.windowed_aggregates(seen, "1 day"), batch_id)
     return _plain_times(read_upserts(spark, folder))
 
@@ -513,6 +596,8 @@ _QUERIES = (
     valid_rows,
     dead_letters,
     whole_chain,
+    guarded_chain,
+    binary_envelope,
     total_rows,
     metric_rollup,
     weighted_rollup,
@@ -536,6 +621,8 @@ _QUERIES = (
     stream_sliding,
     stream_dead_letters,
     stream_dedup,
+    stream_late_rows,
+    stream_dedup_late,
     stream_first_copies,
     stream_quiet_devices,
     stream_dead_letter_rate,
@@ -623,7 +710,9 @@ WITH mapped AS (
 ), telemetry AS (
   SELECT event_id, fault, metric, sender AS device_key, arrival_time,
          CASE fault WHEN {CUT_SHORT} THEN substr(body, 1, 20) WHEN {EMPTY} THEN ''
-              WHEN {IN_ARRAY} THEN '[' || body || ']' ELSE body END AS raw_value,
+              WHEN {IN_ARRAY} THEN '[' || body || ']'
+              WHEN {TWICE} THEN rtrim(body, '}}') || ',"site_id":"' || site || '"}}'
+              WHEN {SINGLE_QUOTES} THEN replace(body, '"', chr(39)) ELSE body END AS raw_value,
          CASE WHEN NOT unreadable THEN sent_id END AS device_id,
          CASE WHEN NOT unreadable THEN sent_time END AS raw_timestamp,
          CASE WHEN NOT unreadable THEN sent_metric END AS metric_type,
@@ -662,6 +751,13 @@ def _bucket(col: str, seconds: int) -> str:
     return f"make_timestamp((floor(epoch_us({col}) / {seconds}e6) * {seconds} * 1000000)::BIGINT)"
 
 
+# The mean at three places from whole millionths, half away from zero.
+_TOTAL = "sum(round(value * 1000000)::BIGINT)::BIGINT"
+_STEP = "(count(value) * 1000)"
+_MEAN = f"""(CASE WHEN {_TOTAL} < 0 THEN -1 ELSE 1 END * (abs({_TOTAL}) // {_STEP}
+               + CASE WHEN 2 * (abs({_TOTAL}) % {_STEP}) >= {_STEP} THEN 1 ELSE 0 END) / 1000.0)::DOUBLE"""
+
+
 def _window_sql(seconds: int, slide: int | None = None, source: str = "valid") -> str:
     step = slide or seconds
     starts = f"""
@@ -670,7 +766,7 @@ def _window_sql(seconds: int, slide: int | None = None, source: str = "valid") -
       FROM {source} v, generate_series(0, {seconds // step - 1}) k"""
     return f"""
       SELECT window_start, window_start + to_seconds({seconds}) AS window_end, device_id,
-             metric_type, round(avg(value), 3) AS avg_value, count(*) AS event_count,
+             metric_type, {_MEAN} AS avg_value, count(*) AS event_count,
              min(value) AS min_value, max(value) AS max_value
       FROM ({starts}) GROUP BY ALL"""
 
@@ -721,13 +817,15 @@ _RATES = f"""
 _MENDED = f"""
 , mended AS (
   SELECT device_id, sent_id, taken, reading, site, firmware, t.fault, t.metric, error_reason,
-         CASE t.metric WHEN 'fault_code' THEN 'temperature' ELSE t.metric END AS new_metric
+         CASE WHEN t.metric = 'fault_code' AND t.fault <> {SINGLE_QUOTES} THEN 'temperature'
+              ELSE t.metric END AS new_metric
   FROM dead t JOIN texts USING (event_id, reading)
 ), again AS (
   SELECT *,
          CASE WHEN fault = {CUT_SHORT} THEN 'invalid_json'
               WHEN fault IN ({NO_DEVICE}, {EMPTY}) THEN 'missing_device_id'
               WHEN fault IN ({BAD_TIME}, {NO_TIME}) THEN 'invalid_timestamp'
+              WHEN fault <> {NO_METRIC} AND new_metric = 'fault_code' THEN 'invalid_metric_type'
               WHEN fault IN ({NO_VALUE}, {TEXT_VALUE}) THEN 'missing_or_non_numeric_value'
               WHEN fault = {NO_METRIC} THEN 'value_out_of_range'
               WHEN new_metric = 'temperature' AND reading BETWEEN -40 AND 85 THEN NULL
@@ -743,6 +841,29 @@ def _rate_select(past: str = "") -> str:
         dead_letters, round(rate, 6) AS rate {past}"""
 
 
+_FUTURE = """CASE WHEN error_reason IS NULL AND device_key LIKE '%5'
+  AND event_time > arrival_time - INTERVAL 47 HOUR THEN 'future_timestamp' ELSE error_reason END"""
+
+# Parts by arrival; a part meets the watermark that the parts before it have left.
+_PARTS = f"""
+, parts AS (
+  SELECT *, {" + ".join(f"(arrival_time >= TIMESTAMP '{day}')::INT" for day in PART_DAYS)} AS part
+  FROM valid
+), part_marks AS (
+  SELECT p.n AS part, max(date_trunc('millisecond', event_time)) - INTERVAL 10 MINUTE AS mark
+  FROM generate_series(0, {len(PART_DAYS) + 1}) AS p(n) LEFT JOIN parts ON parts.part < p.n
+  GROUP BY p.n
+), in_time AS (
+  SELECT parts.* FROM parts JOIN part_marks USING (part)
+  WHERE mark IS NULL OR {_bucket("event_time", _HOUR)} + INTERVAL 1 HOUR > mark
+)"""
+
+
+def _parts_sql(source: str) -> str:
+    return f"""{_PARTS} SELECT * FROM ({_window_sql(_HOUR, None, source)})
+        WHERE window_end <= (SELECT max(mark) FROM part_marks)"""
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "encode": "SELECT device_key AS key, raw_value AS value FROM telemetry",
@@ -767,11 +888,7 @@ def oracle_sql() -> dict[str, str]:
                   UNION ALL SELECT 'conversations', text FROM conversations
                   UNION ALL SELECT 'pages', html FROM pages
                   UNION ALL SELECT 'events', props FROM events)""",
-        "future_guard": _reasons(
-            "CASE WHEN error_reason IS NULL AND device_key LIKE '%5' "
-            "AND event_time > arrival_time - INTERVAL 47 HOUR "
-            "THEN 'future_timestamp' ELSE error_reason END"
-        ),
+        "future_guard": _reasons(_FUTURE),
         "valid_rows": "SELECT * EXCLUDE (arrival_time) FROM valid",
         "dead_letters": "SELECT raw_value, device_id, error_reason FROM dead",
         "whole_chain": """
@@ -797,12 +914,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM days
             ORDER BY window_end DESC, device_id, metric_type, window_start DESC LIMIT 20""",
         "recent_dead_letters": """
-            SELECT device_id, error_reason, raw_value FROM dead
-            ORDER BY raw_value, device_id NULLS FIRST, error_reason LIMIT 20""",
+            SELECT arrival_time AS quarantined_at, device_id, error_reason, raw_value FROM dead
+            ORDER BY arrival_time DESC, raw_value, device_id NULLS FIRST, error_reason LIMIT 20""",
+        "guarded_chain": f"""
+            SELECT coalesce(reason, 'aggregated') AS name, count(*)::BIGINT AS n
+            FROM (SELECT {_FUTURE} AS reason FROM classified) GROUP BY ALL""",
+        "binary_envelope": f"""
+            SELECT NULL::VARCHAR AS device_key, raw_value, device_id, raw_timestamp, metric_type,
+                   value, site_id, firmware_version,
+                   CASE WHEN fault IN ({CUT_SHORT}, {IN_ARRAY}) THEN raw_value END
+                     AS corrupt_record, event_time
+            FROM telemetry""",
         "reason_breakdown": "SELECT error_reason, count(*) AS n FROM dead GROUP BY error_reason",
         "contract_audit": f"""
             SELECT device_key AS key, raw_value AS value,
                    CASE WHEN fault IN ({CUT_SHORT}, {IN_ARRAY}, {EMPTY}) THEN 'not_an_object'
+                   WHEN fault = {TWICE} THEN 'duplicate:site_id'
+                   WHEN fault = {SINGLE_QUOTES} THEN 'syntax'
                    ELSE concat_ws(',',
                      CASE fault WHEN {NO_DEVICE} THEN 'missing:device_id'
                                 WHEN {NO_TIME} THEN 'missing:timestamp'
@@ -857,6 +985,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_sliding": _closed_sql(_DAY, 6 * _HOUR),
         "stream_dead_letters": "SELECT raw_value, device_id, error_reason FROM dead",
         "stream_dedup": _closed_sql(_HOUR),
+        "stream_late_rows": _parts_sql("in_time"),
+        "stream_dedup_late": _parts_sql(
+            "(SELECT DISTINCT device_id, metric_type, event_time, value FROM in_time)"
+        ),
         "stream_first_copies": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
         "stream_quiet_devices": f""", starts AS (
               SELECT device_id, event_time,

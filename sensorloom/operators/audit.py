@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom import contract as c
+from sensorloom.functions import wire
 
 # Type names of schema_of_variant for JSON numbers; decimals carry a precision.
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$"
@@ -44,16 +45,30 @@ def _is_date_time(text: Column) -> Column:
     return text.rlike(c.DATE_TIME_PATTERN) & F.upper(text).try_cast("timestamp").isNotNull()
 
 
+def _unparsed(text: Column) -> Column:
+    """Findings where there is no object in strict JSON."""
+    readable = wire.record(text)[c.CORRUPT_RECORD].isNull() & (F.trim(text) != "")
+    keys = F.json_object_keys(text)
+    twice = F.filter(
+        F.array_distinct(keys), lambda key: F.size(F.filter(keys, lambda other: other == key)) > 1
+    )
+    named = F.transform(F.array_sort(twice), lambda key: F.concat(F.lit("duplicate:"), key))
+    lenient = F.when(F.size(twice) > 0, named).otherwise(F.array(F.lit("syntax")))
+    return F.when(readable & keys.isNotNull(), lenient).otherwise(F.array(F.lit("not_an_object")))
+
+
 def audit_contract(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Add ``violations`` to every message; an empty array means it conforms.
 
     Stricter than :func:`classify`, which lets unknown properties, odd ids and
     numbers in quotes pass.  Findings are ``missing:``, ``type:``,
-    ``pattern:``, ``format:``, ``enum:`` and ``unknown:`` with the field name,
-    or just ``not_an_object``.
+    ``pattern:``, ``format:``, ``enum:`` and ``unknown:`` with the field name.
 
     The text is read as a variant, which keeps the JSON type of each member.
-    As in :func:`decode`, text after the first object is not looked at.
+    As in :func:`decode`, text after the first object is not looked at.  Where
+    strict JSON has no such object but ``decode`` reads one, the finding is
+    ``duplicate:`` with each key given twice, or else ``syntax``, as for keys in
+    single quotes.  Text that ``decode`` cannot read either is ``not_an_object``.
     """
     text = F.col(value_col).cast("string")
     members = F.try_parse_json(text).try_cast("map<string, variant>")
@@ -61,6 +76,6 @@ def audit_contract(raw: DataFrame, value_col: str = "value") -> DataFrame:
     kinds = F.transform_values("members", lambda _, member: F.schema_of_variant(member))
     audited = parsed.withColumn("kinds", kinds).withColumn(
         "violations",
-        F.when(F.col("members").isNull(), F.array(F.lit("not_an_object"))).otherwise(_violations()),
+        F.when(F.col("members").isNull(), _unparsed(text)).otherwise(_violations()),
     )
     return audited.drop("members", "kinds")

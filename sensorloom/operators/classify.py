@@ -25,9 +25,14 @@ def classify(
     )
 
 
-def valid_rows(classified: DataFrame) -> DataFrame:
-    """The typed business columns of the good records."""
-    return classified.where("is_valid").select(*VALID_COLUMNS)
+def valid_rows(classified: DataFrame, with_arrival: bool = False) -> DataFrame:
+    """The typed business columns of the good records.
+
+    ``with_arrival`` adds ``arrival_time``, so that a stored table can be audited
+    for late rows without parsing the messages again.
+    """
+    more = ("arrival_time",) if with_arrival else ()
+    return classified.where("is_valid").select(*VALID_COLUMNS, *more)
 
 
 def dead_letters(classified: DataFrame) -> DataFrame:

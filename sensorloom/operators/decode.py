@@ -61,14 +61,20 @@ def encode(
     key_col: str = "device_id",
     payload_col: str | None = None,
     keep: Sequence[str] = (),
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Write events as (key, value) messages keyed by device.
 
-    ``payload_col`` names a column of ready-made text that is sent as it is
-    where it is not null.  Null fields are left out of the object.  Columns
-    named in ``keep`` travel beside the message.
+    The value is the whole event: a JSON object of all columns, the wire fields
+    first, without ``payload_col`` and ``keep``; ``fields`` names others.  A
+    field that is null is left out of the object.  ``payload_col`` names a
+    column of ready-made text that is sent as it is where it is not null.
+    Columns named in ``keep`` travel beside the message.
     """
-    fields = [F.col(name) for name in WIRE_FIELDS if name in events.columns]
+    if fields is None:
+        aside = {payload_col, *keep}
+        own = [name for name in events.columns if name not in aside]
+        fields = [n for n in WIRE_FIELDS if n in own] + [n for n in own if n not in WIRE_FIELDS]
     value = F.to_json(F.struct(*fields))
     if payload_col is not None:
         value = F.coalesce(F.col(payload_col), value)

@@ -27,8 +27,10 @@ def merge_copies(
     has to sort for them.  ``keys=None`` takes rows for copies only if they
     agree in every column, and that is a hash aggregate in any case.
 
-    On a stream a row is passed on once the watermark reaches its event time,
-    which is before any window that holds it can close.
+    On a stream a row is passed on once the watermark reaches its event time, and
+    a row that arrives behind the watermark is dropped, even if a window that
+    would hold it is still open.  To count copies once in windows, use
+    ``windowed_aggregates(.., count_copies=False)``, which drops no such row.
     """
     columns = events.columns
     identity = columns if keys is None else list(keys)
@@ -45,7 +47,7 @@ def drop_copies_within_watermark(
     events: DataFrame,
     watermark_delay: str = "2 minutes",
     keys: Sequence[str] = EVENT_KEY,
-    spread: int = 64,
+    spread: int | None = None,
 ) -> DataFrame:
     """Pass the first copy of each event on at once; for streams only.
 
@@ -53,10 +55,17 @@ def drop_copies_within_watermark(
     operator has to bring all copies of a key together, so with ``spread`` > 1
     they are first thinned out within ``spread`` independent slices: whatever
     the size of a group of copies, at most ``spread`` rows of it go on to the
-    final step.  The result does not depend on the slice a copy lands in.
+    final step.  The result does not depend on the slice a copy lands in.  By
+    default there are as many slices as shuffle partitions.
+
+    Rows that arrive behind the watermark are dropped, since nothing is known of
+    their earlier copies any more; ``dropped_rows`` of the query's metrics
+    (:func:`sensorloom.streaming.metrics.recent_progress`) counts them.
     """
     if not events.isStreaming:
         raise ValueError("for streams only; use merge_copies on a table")
+    if spread is None:
+        spread = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     arriving = watermarked(events, "event_time", watermark_delay)
     if spread > 1:
         slice_no = F.pmod(F.spark_partition_id(), F.lit(spread))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.durations import interval, milliseconds
@@ -30,14 +30,19 @@ def replay_watermark(
     The greatest event time is found per batch first.  The running maximum
     over batches works within chunks of batches and then over one row per
     chunk, so no task orders the rows or even all batches.  The rows are read
-    twice, for the peaks with two columns only.  Rows without an arrival time
-    belong to no batch and are left out.
+    twice, for the peaks with two columns only; over stored valid rows with
+    their arrival time, that is two columns of a table and no parsing.
+
+    Every row is kept.  One without an arrival time belongs to no batch and
+    meets no watermark; one without an event time is not late.  As in a running
+    query, watermarks have milliseconds.
     """
-    batched = events.withColumn("batch_start", F.window(arrival_col, trigger_interval)["start"])
+    batched = events.withColumn("batch_start", _slot(arrival_col, trigger_interval))
     chunk_length = f"{CHUNK_BATCHES * milliseconds(trigger_interval)} milliseconds"
     peaks = (
-        batched.groupBy("batch_start")
-        .agg(F.max(time_col).alias("peak"))
+        batched.where("batch_start IS NOT NULL")
+        .groupBy("batch_start")
+        .agg(F.date_trunc("millisecond", F.max(time_col)).alias("peak"))
         .withColumn("chunk", F.window("batch_start", chunk_length)["start"])
     )
 
@@ -64,10 +69,18 @@ def replay_watermark(
     replayed = batched.join(watermarks, "batch_start", "left").withColumn("is_late", late)
     if window_duration is None:
         return replayed
-    closed = F.window(time_col, window_duration)["end"] <= F.col("watermark")
+    end = _slot(time_col, window_duration) + interval(window_duration)
+    closed = end <= F.col("watermark")
     return replayed.withColumn("is_dropped", F.coalesce(closed, F.lit(False)))
 
 
+def _slot(time_col: str, length: str) -> Column:
+    """Start of the slot that holds a time; unlike ``window`` it keeps rows without one."""
+    step = milliseconds(length) * 1000
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(step)))
+
+
 def late_rows(
     events: DataFrame,
     trigger_interval: str,

@@ -92,13 +92,15 @@ def spikes_against_past(
 def replay(
     dead: DataFrame,
     repair: Callable[[DataFrame], DataFrame] | None = None,
+    arrival_col: str | None = None,
     **classify_options,
 ) -> tuple[DataFrame, DataFrame]:
     """Send dead letters through decode, classify and split again.
 
     ``repair`` may rewrite ``raw_value`` first.  Gives the readings that are
-    good now and those that are still refused.
+    good now and those that are still refused.  ``arrival_col`` may be any time
+    stamp of the letters, such as ``quarantined_at``; ``future_tolerance`` needs it.
     """
     repaired = dead if repair is None else repair(dead)
-    decoded = decode(repaired, value_col="raw_value")
+    decoded = decode(repaired, value_col="raw_value", arrival_col=arrival_col)
     return split(classify(decoded, **classify_options))

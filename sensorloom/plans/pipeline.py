@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from sensorloom.operators.classify import classify, split
 from sensorloom.operators.decode import decode
-from sensorloom.operators.dedup import merge_copies
 from sensorloom.operators.windows import windowed_aggregates
 
 
@@ -16,18 +15,20 @@ def telemetry_tables(
     watermark_delay: str = "2 minutes",
     slide_duration: str | None = None,
     merge_redelivered: bool = False,
+    arrival_col: str | None = None,
     **classify_options,
 ) -> dict[str, DataFrame]:
     """``valid``, ``dead_letter`` and ``aggregates`` of a table or stream of messages.
 
     ``merge_redelivered`` counts copies of an event once in the aggregates.
+    ``arrival_col`` names the column of ``raw`` that says when a message came in
+    (``timestamp`` of a Kafka source); ``future_tolerance`` needs it.
     """
-    valid, dead = split(classify(decode(raw), **classify_options))
-    counted = merge_copies(valid, watermark_delay) if merge_redelivered else valid
+    valid, dead = split(classify(decode(raw, arrival_col=arrival_col), **classify_options))
     return {
         "valid": valid,
         "dead_letter": dead,
         "aggregates": windowed_aggregates(
-            counted, window_duration, watermark_delay, slide_duration
+            valid, window_duration, watermark_delay, slide_duration, not merge_redelivered
         ),
     }

@@ -37,7 +37,11 @@ def metric_rollup(aggregates: DataFrame) -> DataFrame:
 
 
 def weighted_rollup(aggregates: DataFrame) -> DataFrame:
-    """As :func:`metric_rollup`, but every event weighs the same."""
+    """As :func:`metric_rollup`, but every event weighs the same.
+
+    It weighs window means, which are rounded to three places, so it may lie up
+    to half a thousandth off the mean of the events themselves.
+    """
     weighted = F.sum(F.col("avg_value") * F.col("event_count")) / F.sum("event_count")
     return (
         aggregates.groupBy("metric_type")
@@ -50,6 +54,14 @@ def weighted_rollup(aggregates: DataFrame) -> DataFrame:
     )
 
 
+def route_totals(classified: DataFrame) -> DataFrame:
+    """Valid and refused records, counted in one pass: (name, total)."""
+    counts = classified.agg(
+        F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("dead_letter")
+    )
+    return counts.unpivot([], ["valid", "dead_letter"], "name", "total")
+
+
 def reason_breakdown(dead: DataFrame) -> DataFrame:
     """Dead letters per reason, most frequent first."""
     return (

@@ -43,21 +43,34 @@ def telemetry_session(app_name: str = "sensorloom", **conf: str) -> SparkSession
     return spark
 
 
-def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+def stream_session(
+    spark: SparkSession, partitions: int | None = None, remembered_batches: int = 10_000
+) -> SparkSession:
     """A sibling session for stateful queries; the settings of ``spark`` stay as they are.
 
     The number of shuffle partitions is frozen by a query's first checkpoint.
-    It defaults to the parallelism of the cluster, not of the first batch.
+    It is ``partitions``, or what ``spark`` was set to, or else three per core
+    registered now and eight at least; choose it for the cluster at its largest,
+    as executors that join later cannot share fewer.
     """
     sibling = spark.newSession()
-    count = partitions or spark.sparkContext.defaultParallelism
+    name = "spark.sql.shuffle.partitions"
+    if partitions is None and not _is_set(spark, name):
+        partitions = max(8, 3 * spark.sparkContext.defaultParallelism)
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
-    sibling.conf.set("spark.sql.shuffle.partitions", str(count))
+    sibling.conf.set(name, str(partitions or spark.conf.get(name)))
+    sibling.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(remembered_batches))
     for key, value in STATE_STORE_CONF.items():
         sibling.conf.set(key, value)
     return sibling
 
 
+def _is_set(spark: SparkSession, name: str) -> bool:
+    """Did anybody choose a value, on the cluster or in the session?"""
+    default = spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(name)
+    return spark.sparkContext.getConf().contains(name) or spark.conf.get(name) != default
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder that all executors can reach.
 

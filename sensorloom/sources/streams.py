@@ -63,8 +63,21 @@ def literal_messages(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def read_results(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A result table.
 
+    With a schema, a table that no query has written to yet is empty; without
+    one, Spark says that the path is not there.
+
     Spark's own reader goes by the commit log of the streaming sink, so files
     of a batch that was not committed are not seen.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system that holds the path."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)

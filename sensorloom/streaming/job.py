@@ -39,29 +39,55 @@ class JobSettings:
     watermark_delay: str = "2 minutes"
     trigger_interval: str = "30 seconds"
     starting_offsets: str = "latest"
+    # Settings for a large cluster; 0 and empty mean no limit, no guard.
+    max_offsets_per_trigger: int = 10_000_000
+    files_per_batch: int = 0
+    tables_by_date: bool = False
+    merge_redelivered: bool = False
+    future_tolerance: str = ""
 
     @classmethod
     def from_environment(cls, environment: Mapping[str, str] = os.environ) -> JobSettings:
-        names = [field.name for field in fields(cls)]
-        return cls(**{n: environment[n.upper()] for n in names if n.upper() in environment})
+        given = {f.name: environment[f.name.upper()] for f in fields(cls) if f.name.upper() in environment}
+        return cls(**{name: _READ[type(getattr(cls, name))](text) for name, text in given.items()})
+
+    def source_options(self) -> dict[str, str]:
+        limit = self.max_offsets_per_trigger
+        return {"maxOffsetsPerTrigger": str(limit)} if limit else {}
+
+    def require_shared_paths(self) -> None:
+        """Paths without a root belong to one machine, whatever the cluster."""
+        for path in (self.output_path, self.dead_letter_path, self.checkpoint_path):
+            if not (path.startswith("/") or "://" in path):
+                raise ValueError(f"{path!r} is relative; name a folder that all executors reach")
+
+
+_READ = {str: str, int: int, bool: lambda text: text.strip().lower() in ("1", "true", "yes")}
 
 
 def start_queries(
     raw: DataFrame,
     settings: JobSettings,
     until_done: bool = False,
-    by_date: bool = False,
-    files_per_batch: int | None = None,
+    arrival_col: str | None = None,
     **pipeline_options,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the aggregates and the dead-letter query on a stream of messages.
 
     ``until_done`` works off what is there and ends, instead of running on the
-    trigger interval.  ``by_date`` and ``files_per_batch`` shape both tables as
-    described at :func:`sensorloom.streaming.sinks.append_to_parquet`.
+    trigger interval.  ``arrival_col`` is needed if the settings have a future
+    tolerance.  The layout of both tables is described at
+    :func:`sensorloom.streaming.sinks.append_to_parquet`.
     """
+    if settings.future_tolerance:
+        pipeline_options["future_tolerance"] = settings.future_tolerance
     tables = telemetry_tables(
-        raw, settings.window_duration, settings.watermark_delay, **pipeline_options
+        raw,
+        settings.window_duration,
+        settings.watermark_delay,
+        merge_redelivered=settings.merge_redelivered,
+        arrival_col=arrival_col,
+        **pipeline_options,
     )
     every = None if until_done else settings.trigger_interval
     sinks = {
@@ -75,8 +101,8 @@ def start_queries(
             path,
             checkpoint=f"{settings.checkpoint_path}/{name}",
             trigger_interval=every,
-            date_from=stamp if by_date else None,
-            files_per_batch=files_per_batch,
+            date_from=stamp if settings.tables_by_date else None,
+            files_per_batch=settings.files_per_batch or None,
         )
         log.info("query %s (%s) appends to %s", name, query.id, path)
         started.append(query)
@@ -85,10 +111,16 @@ def start_queries(
 
 def run(spark: SparkSession, settings: JobSettings) -> None:
     """Run on the topic until one of the queries ends; if it failed, so does the job."""
+    if not spark.sparkContext.master.startswith("local["):
+        settings.require_shared_paths()
     raw = kafka_stream(
-        spark, settings.kafka_bootstrap_servers, settings.kafka_topic, settings.starting_offsets
+        spark,
+        settings.kafka_bootstrap_servers,
+        settings.kafka_topic,
+        settings.starting_offsets,
+        **settings.source_options(),
     )
-    start_queries(raw, settings)
+    start_queries(raw, settings, arrival_col="timestamp")
     spark.streams.awaitAnyTermination()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
+_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
 PROGRESS_SCHEMA = (
     "query_id STRING, run_id STRING, name STRING, batch_id BIGINT, batch_time STRING, "
     "input_rows BIGINT, rows_per_second DOUBLE, duration_ms BIGINT, watermark STRING, "
@@ -44,26 +45,54 @@ def progress_table(spark: SparkSession, progresses: Iterable[StreamingQueryProgr
 
 
 def recent_progress(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    """The batches that the given queries still remember, one row each."""
-    return progress_table(spark, [p for query in queries for p in query.recentProgress])
+    """The batches that the given queries still remember, one row each.
+
+    A query forgets its oldest batches once it has reported as many as
+    ``spark.sql.streaming.numRecentProgressUpdates``; from then on this raises
+    an error, as sums over the rest would be wrong.  :class:`ProgressLog` keeps all.
+    """
+    remembered = []
+    for query in queries:
+        progresses = query.recentProgress
+        kept = spark.conf.get(_RETENTION)
+        if len(progresses) >= int(kept):
+            raise ValueError(
+                f"query {query.id} keeps {kept} batches and may have forgotten earlier ones; "
+                f"raise {_RETENTION} or use a ProgressLog"
+            )
+        remembered += progresses
+    return progress_table(spark, remembered)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends a row per micro-batch to a Parquet table; ``spark.streams.addListener(...)``."""
+    """Appends a row per micro-batch to a Parquet table; ``spark.streams.addListener(...)``.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    Rows are held back until there are ``every`` of them or a query ends, so
+    that a long-running job does not write a small file per trigger.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50) -> None:
         self.spark = spark
         self.path = path
+        self.every = every
+        self.held: list[StreamingQueryProgress] = []
+
+    def flush(self) -> None:
+        if self.held:
+            rows = progress_table(self.spark, self.held)
+            self.held = []
+            rows.coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
-        pass
+        """Nothing to keep."""
 
     def onQueryProgress(self, event) -> None:
-        rows = progress_table(self.spark, [event.progress])
-        rows.coalesce(1).write.mode("append").parquet(self.path)
+        self.held.append(event.progress)
+        if len(self.held) >= self.every:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
-        pass
+        """Nothing to keep."""
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()

@@ -11,12 +11,12 @@ from sensorloom.contract import DEAD_LETTER_COLUMNS, VALID_COLUMNS
 from sensorloom.sources.streams import literal_messages
 
 GOOD = {
-    "device_id": "dev-0000abcd",
-    "timestamp": "2026-07-29T10:00:00.000Z",
+    "device_id": "dev-5eed0017",
+    "timestamp": "2025-11-03T04:05:06.789Z",
     "metric_type": "temperature",
-    "value": 21.5,
-    "site_id": "site-01",
-    "firmware_version": "1.4.2",
+    "value": -3.25,
+    "site_id": "quarry-3",
+    "firmware_version": "0.9-rc1",
 }
 VALID = None
 
@@ -33,11 +33,11 @@ def metric(name, value):
 CASES = [
     ("canonical", body(), VALID),
     ("no device", body(drop=["device_id"]), "missing_device_id"),
-    ("unknown metric", metric("warp_factor", 21.5), "invalid_metric_type"),
-    ("value N/A", body(value="N/A"), "missing_or_non_numeric_value"),
-    ("bad timestamp", body(timestamp="not-a-timestamp"), "invalid_timestamp"),
-    ("cut short", body()[:20], "invalid_json"),
-    ("hot", body(value=999.9), "value_out_of_range"),
+    ("unknown metric", metric("pressure", 1.5), "invalid_metric_type"),
+    ("value N/A", body(value="offline"), "missing_or_non_numeric_value"),
+    ("bad timestamp", body(timestamp="yesterday"), "invalid_timestamp"),
+    ("cut short", body()[:-30], "invalid_json"),
+    ("hot", body(value=85.01), "value_out_of_range"),
     ("no timestamp", body(drop=["timestamp"]), "invalid_timestamp"),
     ("no value", body(drop=["value"]), "missing_or_non_numeric_value"),
     ("no metric", body(drop=["metric_type"]), "value_out_of_range"),
@@ -122,7 +122,7 @@ ABSENT = object()
 FIELDS = {
     # value -> the reason it gives, in order of precedence of the fields
     "device_id": [
-        ("dev-0000abcd", None),
+        ("dev-5eed0017", None),
         (ABSENT, "missing_device_id"),
         (None, "missing_device_id"),
     ],
@@ -170,9 +170,9 @@ def test_precedence_over_all_combinations(spark):
 
 def test_decoded_fields(outcomes):
     row = outcomes["canonical"]
-    assert (row.device_id, row.metric_type, row.value) == ("dev-0000abcd", "temperature", 21.5)
-    assert (row.site_id, row.firmware_version) == ("site-01", "1.4.2")
-    assert str(row.event_time) == "2026-07-29 10:00:00"
+    assert (row.device_id, row.metric_type, row.value) == ("dev-5eed0017", "temperature", -3.25)
+    assert (row.site_id, row.firmware_version) == ("quarry-3", "0.9-rc1")
+    assert str(row.event_time) == "2025-11-03 04:05:06.789000"
     assert outcomes["value with exponent"].value == 10.0
     assert outcomes["one digit"].event_time.microsecond == 500_000
 
@@ -204,7 +204,7 @@ def test_event_time_does_not_depend_on_session_zone(spark):
             seen.add(decode(raw).select(F.unix_micros("event_time")).first()[0])
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert seen == {1785319200 * 1_000_000}
+    assert seen == {1_762_142_706_789_000}
 
 
 def test_split_keeps_every_row_once(spark):
@@ -221,7 +221,7 @@ def test_split_keeps_every_row_once(spark):
 
 
 def test_future_guard(spark):
-    rows = [("on time", body(), "2026-07-29T10:00:01"), ("ahead", body(), "2026-07-29T09:54:59")]
+    rows = [("on time", body(), "2025-11-03T04:05:07"), ("ahead", body(), "2025-11-03T04:00:05")]
     raw = spark.createDataFrame(rows, "key STRING, value STRING, seen STRING")
     decoded = decode(raw.withColumn("seen", F.to_timestamp("seen")), arrival_col="seen")
     plain = {row.device_key: row.error_reason for row in classify(decoded).collect()}
@@ -249,6 +249,17 @@ def test_encode_round_trip(spark):
     assert messages["dev-00000002"] == "{raw"
 
 
+def test_encode_sends_the_whole_event(spark):
+    event = spark.createDataFrame(
+        [("dev-00000001", 7.5, "ok", "aside")], "device_id STRING, value DOUBLE, status STRING, note STRING"
+    )
+    (whole,) = encode(event, keep=("note",)).collect()
+    assert json.loads(whole.value) == {"device_id": "dev-00000001", "value": 7.5, "status": "ok"}
+    assert (whole.key, whole.note) == ("dev-00000001", "aside")
+    (chosen,) = encode(event, fields=("value", "note")).collect()
+    assert json.loads(chosen.value) == {"value": 7.5, "note": "aside"}
+
+
 def test_text_is_parsed_once(spark):
     raw = spark.range(1).selectExpr("'k' AS key", "CAST(id AS STRING) AS value")
     for route in split(classify(decode(raw))):

@@ -54,6 +54,9 @@ AUDIT = [
     (body(metric_type="TEMPERATURE"), ["enum:metric_type"]),
     (body(site_id=1), ["type:site_id"]),
     (body(zeta=1, alpha={"x": 2}), ["unknown:alpha", "unknown:zeta"]),
+    ('{"device_id":"dev-0000000a","device_id":"dev-0000000b"}', ["duplicate:device_id"]),
+    ('{"b":1,"a":2,"b":3,"a":4}', ["duplicate:a", "duplicate:b"]),
+    ("{'device_id':'dev-0000000a'}", ["syntax"]),
     ("[1]", ["not_an_object"]),
     ("{", ["not_an_object"]),
     ("null", ["not_an_object"]),
@@ -63,6 +66,39 @@ AUDIT = [
 ]
 
 
+def test_infinite_number_is_a_number_to_the_audit_only(spark):
+    """1e400 is a JSON number, so the audit lets it pass; classify reads no double in it."""
+    text = (
+        '{"device_id":"dev-0000000a","timestamp":"2025-11-03T04:05:06Z",'
+        '"metric_type":"battery","value":1e400}'
+    )
+    raw = literal_messages(spark, [("k", text)])
+    assert audit_contract(raw).first().violations == []
+    assert classify(decode(raw)).first().error_reason == "missing_or_non_numeric_value"
+
+
+def test_audit_of_lateness_keeps_every_row(spark):
+    times = [("2025-11-03 04:00:00", "2025-11-03 04:00:01"), (None, "2025-11-03 04:00:05"),
+             ("2025-11-03 04:00:02", None), (None, None)]
+    events = spark.createDataFrame(times, "event STRING, came STRING").select(
+        F.to_timestamp("event").alias("event_time"), F.to_timestamp("came").alias("arrival_time")
+    )
+    plain = replay_watermark(events, "1 minute", "1 minute")
+    windowed = replay_watermark(events, "1 minute", "1 minute", "1 minute")
+    assert plain.count() == windowed.count() == 4
+    assert windowed.where("batch_start IS NULL AND NOT is_late AND NOT is_dropped").count() == 2
+
+
+def test_silence_at_the_end_reads_once(spark):
+    events = spark.range(10).selectExpr(
+        "CONCAT('d', id % 3) AS device_id", "TIMESTAMP_SECONDS(id * 1000) AS event_time"
+    )
+    silent = quiet_periods(events.repartition(2), "5 minutes", at_end=True)
+    silent.collect()
+    plan = silent._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_contract_audit(spark):
     raw = literal_messages(spark, [(str(i), text) for i, (text, _) in enumerate(AUDIT)])
     found = {int(row.key): row.violations for row in audit_contract(raw).collect()}

@@ -3,6 +3,8 @@
 import json
 from datetime import datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from sensorloom import (
     classify,
     decode,
     drop_copies_within_watermark,
-    merge_copies,
     quiet_signals,
     replay_watermark,
     split,
@@ -26,7 +27,7 @@ from sensorloom.sources.streams import (
 from sensorloom.streaming.job import JobSettings, start_queries
 from sensorloom.streaming.metrics import ProgressLog, progress_table, recent_progress
 from sensorloom.streaming.sinks import append_to_parquet
-from sensorloom.streaming.upserts import latest, read_upserts, upsert_writer
+from sensorloom.streaming.upserts import compact, latest, read_upserts, upsert_writer
 
 DEVICE = "dev-9999ffff"
 
@@ -77,35 +78,128 @@ class Feed:
 
 
 def test_watermark_over_restarts(streams, tmp_path):
-    feed = Feed(streams, tmp_path, lambda s: windowed_aggregates(s, watermark_delay="1 minute"))
+    feed = Feed(
+        streams, tmp_path, lambda s: windowed_aggregates(s, "10 minutes", watermark_delay="3 minutes")
+    )
 
     def seen(rows):
-        return [(r.window_start.minute, r.avg_value, r.event_count) for r in rows]
-
-    first = (0, 15.0, 2)
-    assert seen(feed.step((DEVICE, "10:00:10", 10), (DEVICE, "10:00:40", 20))) == []
-    assert seen(feed.step((DEVICE, "10:05:00", 30))) == [first]
-    assert feed.last("watermark")[-1] == "2026-07-29T10:04:00.000Z"
+        return [(r.window_start.strftime("%H:%M"), r.avg_value, r.event_count) for r in rows]
+
+    morning = ("06:20", 4.0, 3)
+    assert seen(feed.step((DEVICE, "06:21:30", 3), (DEVICE, "06:29:59", 8))) == []
+    # late by two minutes, within the delay: counted
+    assert seen(feed.step((DEVICE, "06:27:45", 1))) == []
+    assert seen(feed.step((DEVICE, "06:41:00", 70))) == [morning]
+    assert feed.last("watermark")[-1] == "2026-07-29T06:38:00.000Z"
     # its window is closed: dropped, nothing changes
-    assert seen(feed.step((DEVICE, "10:00:15", 999))) == [first]
+    assert seen(feed.step((DEVICE, "06:22:00", 60), (DEVICE, "06:22:05", 61))) == [morning]
     assert sum(feed.last("dropped_rows")) == 1
-    # late, but its window is open: kept in state
-    assert seen(feed.step((DEVICE, "10:04:10", 5))) == [first]
+    # older than the watermark, but its window is open: kept in state
+    assert seen(feed.step((DEVICE, "06:31:00", 12))) == [morning]
     assert sum(feed.last("dropped_rows")) == 0
-    second = (4, 5.0, 1)
-    assert seen(feed.step((DEVICE, "10:06:00", 1))) == [first, second]
-    # older than the watermark by window end only
-    assert seen(feed.step((DEVICE, "10:04:59", 7))) == [first, second]
+    second = ("06:30", 12.0, 1)
+    assert seen(feed.step((DEVICE, "06:43:00", 5))) == [morning, second]
+    # its window ends exactly at the watermark
+    assert seen(feed.step((DEVICE, "06:39:59", 7))) == [morning, second]
     assert sum(feed.last("dropped_rows")) == 1
 
 
-def test_late_row_within_the_delay_counts(streams, tmp_path):
-    feed = Feed(streams, tmp_path, lambda s: windowed_aggregates(s, watermark_delay="2 minutes"))
-    feed.step((DEVICE, "10:00:10", 10))
-    feed.step((DEVICE, "10:02:30", 1))
-    feed.step((DEVICE, "10:00:50", 30))
-    (row,) = feed.step((DEVICE, "10:04:00", 1))
-    assert (row.window_start.minute, row.event_count, row.avg_value) == (0, 2, 20.0)
+LATE_STEPS = ["07:00:20", "07:25:00", "07:03:00", "08:31:00"]
+
+
+@pytest.mark.parametrize("count_copies", [True, False])
+def test_open_windows_take_late_rows(streams, tmp_path, count_copies):
+    """A row behind the watermark counts as long as its window is open, copies merged or not."""
+    feed = Feed(
+        streams, tmp_path,
+        lambda s: windowed_aggregates(s, "1 hour", "2 minutes", count_copies=count_copies),
+    )
+    for n, moment in enumerate(LATE_STEPS):
+        rows = feed.step((DEVICE, moment, n), (DEVICE, moment, n))
+    (row,) = rows
+    assert (row.window_start.hour, row.event_count) == (7, 6 if count_copies else 3)
+
+
+def test_sliding_windows_of_distinct_readings(spark, streams, tmp_path):
+    def build(s):
+        return windowed_aggregates(s, "20 minutes", "1 minute", "10 minutes", count_copies=False)
+
+    feed = Feed(streams, tmp_path, build)
+    feed.step((DEVICE, "07:05:00", 1), (DEVICE, "07:05:00", 1), (DEVICE, "07:15:00", 3))
+    feed.step((DEVICE, "07:05:00", 1), (DEVICE, "07:17:00", 5))
+    rows = feed.step((DEVICE, "07:32:00", 9))
+    got = [(r.window_start.strftime("%H:%M"), r.event_count, r.avg_value) for r in rows]
+    assert got == [("06:50", 1, 1.0), ("07:00", 3, 3.0), ("07:10", 2, 4.0)]
+
+
+def test_far_future_reading_closes_nothing(streams, spark, tmp_path):
+    """With the guard on, one bad clock neither counts nor moves the watermark."""
+    settings = JobSettings(
+        output_path=str(tmp_path / "a"), dead_letter_path=str(tmp_path / "d"),
+        checkpoint_path=str(tmp_path / "c"), future_tolerance="5 minutes", merge_redelivered=True,
+        files_per_batch=1,
+    )
+    topic = str(tmp_path / "topic")
+    schema = "key STRING, value STRING, timestamp TIMESTAMP"
+
+    def publish(*sent):
+        rows = [(DEVICE, message(at), datetime(2026, 7, 29, *came)) for at, came in sent]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(topic)
+        raw = envelope_stream(streams, topic, schema)
+        for query in start_queries(raw, settings, until_done=True, arrival_col="timestamp"):
+            query.awaitTermination()
+        tables = (settings.output_path, settings.dead_letter_path)
+        return [read_results(spark, path).collect() for path in tables]
+
+    publish(("10:00:10", (10, 0, 11)), ("23:00:00", (10, 0, 12)))
+    aggregates, dead = publish(("10:00:30", (10, 0, 31)))
+    assert aggregates == [] and [r.error_reason for r in dead] == ["future_timestamp"]
+    aggregates, _ = publish(("10:05:00", (10, 5, 1)))
+    assert [r.event_count for r in aggregates] == [2]
+
+
+def test_settings_from_the_environment(tmp_path):
+    given = {"FILES_PER_BATCH": "3", "TABLES_BY_DATE": "true", "FUTURE_TOLERANCE": "1 hour",
+             "WINDOW_DURATION": "5 minutes"}
+    settings = JobSettings.from_environment(given)
+    assert (settings.files_per_batch, settings.tables_by_date) == (3, True)
+    assert (settings.future_tolerance, settings.window_duration) == ("1 hour", "5 minutes")
+    assert settings.source_options() == {"maxOffsetsPerTrigger": "10000000"}
+    assert JobSettings(max_offsets_per_trigger=0).source_options() == {}
+    with pytest.raises(ValueError):
+        JobSettings().require_shared_paths()
+    JobSettings("b", "t", "/a", "s3a://d", "hdfs:///c").require_shared_paths()
+
+
+def test_stream_sessions_keep_the_users_partitions(spark):
+    assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == "2"
+    assert stream_session(spark, 7).conf.get("spark.sql.shuffle.partitions") == "7"
+
+
+def test_forgotten_batches_are_an_error(streams, tmp_path):
+    feed = Feed(streams, tmp_path, lambda s: windowed_aggregates(s, "1 minute", "1 minute"))
+    feed.step((DEVICE, "10:00:10", 10), (DEVICE, "10:05:40", 20))
+    kept = streams.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    streams.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with pytest.raises(ValueError, match="forgotten"):
+            recent_progress(streams, feed.query)
+    finally:
+        streams.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_many_batches_are_remembered(spark, streams, tmp_path):
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    for n in range(104):
+        text = pa.table({"key": [DEVICE], "value": [message(f"10:{n // 60:02}:{n % 60:02}")]})
+        pq.write_table(text, folder / f"{n:03}.parquet")
+    raw = envelope_stream(streams, str(folder), maxFilesPerTrigger=1)
+    query = append_to_parquet(decode(raw), str(tmp_path / "o"), str(tmp_path / "c"), None)
+    query.awaitTermination()
+    progress = recent_progress(streams, query)
+    assert progress.count() > 100
+    assert progress.agg(F.sum("input_rows")).first()[0] == 104
 
 
 def test_replay_agrees_with_the_stream(spark, streams, tmp_path):
@@ -181,9 +275,12 @@ def test_layout_by_date(spark, streams, tmp_path):
     spark.createDataFrame([("k", t) for t in days], "key STRING, value STRING").write.parquet(
         str(feed_folder)
     )
-    settings = JobSettings(str(tmp_path), "t", *[str(tmp_path / n) for n in ("a", "d", "c")])
+    settings = JobSettings(
+        str(tmp_path), "t", *[str(tmp_path / n) for n in ("a", "d", "c")],
+        tables_by_date=True, files_per_batch=1,
+    )
     raw = envelope_stream(streams, str(feed_folder))
-    for query in start_queries(raw, settings, until_done=True, by_date=True, files_per_batch=1):
+    for query in start_queries(raw, settings, until_done=True):
         query.awaitTermination()
     assert len(list((tmp_path / "a").glob("date=*/*.parquet"))) == 2
     table = read_results(spark, str(tmp_path / "a"))
@@ -193,17 +290,6 @@ def test_layout_by_date(spark, streams, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().toString()
 
 
-def test_merging_copies_on_a_stream(streams, tmp_path):
-    def build(s):
-        return windowed_aggregates(merge_copies(s, "1 minute"), watermark_delay="1 minute")
-
-    feed = Feed(streams, tmp_path, build)
-    feed.step((DEVICE, "10:00:10", 10), (DEVICE, "10:00:10", 10), (DEVICE, "10:00:40", 30))
-    feed.step((DEVICE, "10:00:10", 10), (DEVICE, "10:00:50", 50))
-    (row,) = feed.step((DEVICE, "10:05:00", 1))
-    assert (row.event_count, row.avg_value) == (3, 30.0)
-
-
 @pytest.mark.parametrize("spread", [1, 4])
 def test_first_copy_passes_at_once(streams, tmp_path, spread):
     feed = Feed(
@@ -258,13 +344,19 @@ def test_upserts_are_idempotent(spark, tmp_path):
         )
 
     path = str(tmp_path / "upserts")
+    assert read_upserts(spark, path).count() == 0
     write = upsert_writer(path, files_per_batch=1)
     write(changes(("a", 1.0, 1), ("b", 5.0, 1)), 0)
     write(changes(("a", 2.0, 2)), 1)
     write(changes(("a", 2.0, 2)), 1)
     got = {(r.device_id, r.avg_value, r.event_count) for r in read_upserts(spark, path).collect()}
     assert got == {("a", 2.0, 2), ("b", 5.0, 1)}
-    plan = latest(spark.read.parquet(path))._jdf.queryExecution().sparkPlan().toString()
+    compact(spark, path, 1)
+    write(changes(("a", 7.0, 7), ("c", 1.0, 1)), 1)  # held by the base: changes nothing
+    write(changes(("b", 6.0, 2)), 2)
+    got = {(r.device_id, r.avg_value, r.event_count) for r in read_upserts(spark, path).collect()}
+    assert got == {("a", 2.0, 2), ("b", 6.0, 2)}
+    plan = latest(spark.read.parquet(f"{path}/changes"))._jdf.queryExecution().sparkPlan().toString()
     assert "SortAggregate" not in plan
 
 
@@ -280,11 +372,15 @@ def test_progress_log(spark, streams, tmp_path):
     class Event:
         progress = feed.query.recentProgress[0]
 
-    log = ProgressLog(spark, str(tmp_path / "log"))
+    log = ProgressLog(spark, str(tmp_path / "log"), every=2)
+    log.onQueryProgress(Event)
+    assert not (tmp_path / "log").exists()
     log.onQueryProgress(Event)
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
     log.onQueryProgress(Event)
+    log.onQueryTerminated(Event)
     stored = spark.read.parquet(str(tmp_path / "log"))
-    assert stored.count() == 2
+    assert stored.count() == 3
     assert stored.schema.names == progress_table(spark, []).schema.names
     assert stored.first().query_id == str(feed.query.id)
 

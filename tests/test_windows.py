@@ -1,106 +1,118 @@
 """Window aggregates and reports over tables."""
 
-from datetime import datetime
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from sensorloom import merge_copies, sliding_by_panes, telemetry_tables, windowed_aggregates
-from sensorloom.contract import AGGREGATE_COLUMNS
+from sensorloom.contract import AGGREGATE_COLUMNS, METRICS
 from sensorloom.plans import reports
 from sensorloom.sources.streams import literal_messages, literal_readings
 
-DAY = "2026-07-29T"
+DAY = "2025-03-11T"
 
 
 def readings(spark, *rows):
     full = [
-        (device, DAY + at, metric, float(v), "site-01", "1.4.2") for device, at, metric, v in rows
+        (device, DAY + at, metric, float(v), "hall-7", "3.0.9") for device, at, metric, v in rows
     ]
     return literal_readings(spark, full)
 
 
 def at(hour, minute, second=0):
-    return datetime(2026, 7, 29, hour, minute, second)
+    return datetime(2025, 3, 11, hour, minute, second)
 
 
-def test_mean_count_and_bounds(spark):
-    df = readings(
-        spark,
-        ("dev-aaaa1111", "10:00:05", "temperature", 20),
-        ("dev-aaaa1111", "10:00:35", "temperature", 22),
-    )
-    aggregates = windowed_aggregates(df)
-    assert tuple(aggregates.columns) == AGGREGATE_COLUMNS
-    assert [tuple(row) for row in aggregates.collect()] == [
-        (at(10, 0), at(10, 1), "dev-aaaa1111", "temperature", 21.0, 2, 20.0, 22.0)
+def generated(seed, count=400):
+    """Readings (device, second of the day, metric, thousandths) in no order."""
+    draw = random.Random(seed)
+    return [
+        (f"dev-{draw.randrange(6):08x}", draw.randrange(6 * 3600), draw.choice(METRICS),
+         draw.randrange(-20_000, 80_000))
+        for _ in range(count)
     ]
 
 
-def test_windows_stay_apart(spark):
-    df = readings(
-        spark,
-        ("dev-bbbb2222", "10:00:10", "humidity", 40),
-        ("dev-bbbb2222", "10:02:10", "humidity", 60),
-    )
-    rows = windowed_aggregates(df).orderBy("window_start").collect()
-    assert [(r.window_start, r.event_count, r.avg_value) for r in rows] == [
-        (at(10, 0), 1, 40.0),
-        (at(10, 2), 1, 60.0),
+def as_table(spark, rows):
+    texts = [
+        (device, str(timedelta(seconds=second)).rjust(8, "0"), metric, thousandths / 1000)
+        for device, second, metric, thousandths in rows
     ]
+    return readings(spark, *texts)
+
+
+def by_hand(rows, length, slide):
+    """Every window of every reading, counted in whole numbers."""
+    groups = defaultdict(list)
+    for device, second, metric, thousandths in rows:
+        start = second - second % slide
+        while start > second - length:
+            groups[start, device, metric].append(thousandths)
+            start -= slide
+    found = set()
+    for (start, device, metric), values in groups.items():
+        mean = (Decimal(sum(values)) / len(values)).quantize(Decimal(1), ROUND_HALF_UP)
+        found.add((at(0, 0) + timedelta(seconds=start), at(0, 0) + timedelta(seconds=start + length),
+                   device, metric, int(mean) / 1000, len(values), min(values) / 1000,
+                   max(values) / 1000))
+    return found
+
+
+@pytest.mark.parametrize("length,slide", [(60, 60), (900, 900), (1200, 300), (3600, 2400)])
+def test_windows_against_a_count_by_hand(spark, length, slide):
+    rows = generated(length + slide)
+    step = f"{slide} seconds" if slide != length else None
+    aggregates = windowed_aggregates(as_table(spark, rows), f"{length} seconds", slide_duration=step)
+    assert tuple(aggregates.columns) == AGGREGATE_COLUMNS
+    assert {tuple(row) for row in aggregates.collect()} == by_hand(rows, length, slide)
+
+
+def test_order_of_rows_cannot_be_seen(spark):
+    """Bit by bit the same, whatever the order and the partitions."""
+    rows = [("dev-00000001", n % 600, "battery", (n * 7919) % 100_003) for n in range(2000)]
+    seen = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        table = as_table(spark, rows).repartition(seed + 1)
+        for found in (
+            windowed_aggregates(table, "10 minutes", slide_duration="5 minutes"),
+            sliding_by_panes(table, "10 minutes", "5 minutes"),
+        ):
+            seen.add(tuple(sorted((r.window_start, r.avg_value.hex()) for r in found.collect())))
+    assert len(seen) == 1
+
+
+def test_values_that_do_not_fit_have_a_mean_too(spark):
+    table = readings(
+        spark, ("a", "01:00:00", "battery", 4e15), ("a", "01:00:01", "battery", 2e15),
+        ("b", "01:00:00", "battery", float("nan")), ("b", "01:00:01", "battery", 1),
+    )
+    means = {r.device_id: r.avg_value for r in windowed_aggregates(table).collect()}
+    assert means["a"] == 3e15 and means["b"] != means["b"]
 
 
-def test_order_of_arrival_does_not_matter(spark):
-    df = readings(
-        spark,
-        ("dev-cccc3333", "10:05:50", "battery", 80),
-        ("dev-cccc3333", "10:05:05", "battery", 90),
-    )
-    (row,) = windowed_aggregates(df).collect()
-    assert (row.window_start, row.avg_value, row.event_count) == (at(10, 5), 85.0, 2)
-    assert (row.min_value, row.max_value) == (80.0, 90.0)
+def test_copies_counted_once(spark):
+    rows = generated(5, 120)
+    table = as_table(spark, rows + rows[::3] + rows[::7])
+    found = windowed_aggregates(table, "15 minutes", slide_duration="5 minutes", count_copies=False)
+    assert {tuple(row) for row in found.collect()} == by_hand(sorted(set(rows)), 900, 300)
 
 
 def test_start_belongs_to_the_window_and_end_does_not(spark):
     df = readings(
         spark,
-        ("dev-cccc3333", "10:00:00", "battery", 1),
-        ("dev-cccc3333", "10:00:59.999", "battery", 2),
-        ("dev-cccc3333", "10:01:00", "battery", 3),
+        ("dev-00000c0c", "10:00:00", "battery", 1),
+        ("dev-00000c0c", "10:00:59.999", "battery", 2),
+        ("dev-00000c0c", "10:01:00", "battery", 3),
     )
     counts = {r.window_start: r.event_count for r in windowed_aggregates(df).collect()}
     assert counts == {at(10, 0): 2, at(10, 1): 1}
 
 
-def test_devices_and_metrics_do_not_mix(spark):
-    df = readings(
-        spark,
-        ("dev-dddd4444", "10:00:10", "temperature", 20),
-        ("dev-eeee5555", "10:00:10", "temperature", 100),
-        ("dev-dddd4444", "10:00:20", "humidity", 50),
-    )
-    means = {(r.device_id, r.metric_type): r.avg_value for r in windowed_aggregates(df).collect()}
-    assert means == {
-        ("dev-dddd4444", "temperature"): 20.0,
-        ("dev-eeee5555", "temperature"): 100.0,
-        ("dev-dddd4444", "humidity"): 50.0,
-    }
-
-
-def test_sliding_windows_overlap(spark):
-    df = readings(spark, ("dev-ffff6666", "10:00:30", "signal_strength", -70))
-    sliding = windowed_aggregates(df, slide_duration="30 seconds")
-    starts = sorted(r.window_start for r in sliding.collect())
-    assert starts == [at(10, 0), at(10, 0, 30)]
-
-
-def test_mean_is_rounded_and_bounds_are_not(spark):
-    values = enumerate((0, 0, 0.12345))
-    df = readings(spark, *[("dev-aaaa1111", f"10:00:0{i}", "battery", v) for i, v in values])
-    (row,) = windowed_aggregates(df).collect()
-    assert (row.avg_value, row.min_value, row.max_value) == (0.041, 0.0, 0.12345)
-
-
 @pytest.mark.parametrize(
     "window,slide",
     [("1 hour", "5 minutes"), ("10 minutes", "4 minutes"), ("7 minutes", "7 minutes")],
