@@ -17,7 +17,7 @@ _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 2**64))
 _MIX = (np.uint64(0xFF51_AFD7_ED55_8CCD), np.uint64(0xC4CE_B9FE_1A85_EC53))
 _PAIR = (np.uint64(0xD6E8_FEB8_6659_FD93), np.uint64(0xA3B1_9535_4A39_B70D))
 #: Texts are taken together up to so many bytes; a longer one is taken alone.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -152,6 +152,14 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     )
 
 
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each pair of rows, adding up one component after the other."""
+    total = np.zeros(len(left))
+    for component in range(left.shape[1]):
+        total += (left[:, component] - right[:, component]) ** 2
+    return np.sqrt(total)
+
+
 def _nearest_in(asked: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     found: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
     if asked.num_rows and rows.num_rows:
@@ -169,10 +177,10 @@ def _nearest_in(asked: pa.Table, rows: pa.Table, k: int) -> pa.Table:
             gaps = vectors[first] - part[:, None]
             exact = np.einsum("ijk,ijk->ij", gaps, gaps)
             exact[np.take_along_axis(own, first, axis=1)] = np.inf
-            least = exact.max(axis=1, keepdims=True) if first.shape[1] >= k else np.inf
+            # The sum of squares in another order may differ in the last digits.
+            least = exact.max(axis=1, keepdims=True) * (1 + 1e-9) if first.shape[1] >= k else np.inf
             q, v = np.nonzero((estimate - slack <= least) & ~own)
-            gaps = vectors[v] - part[q]
-            scores = np.sqrt(np.einsum("ij,ij->i", gaps, gaps))
+            scores = distances(vectors[v], part[q])
             order = np.lexsort((ids[v], scores, q))
             q, v, scores = q[order], v[order], scores[order]
             place = np.arange(len(q)) - np.searchsorted(q, q)
@@ -184,3 +192,20 @@ def _nearest_in(asked: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     return pa.table(
         {n: pa.array(np.concatenate(v) if v else [], types[n]) for n, v in found.items()}
     )
+
+
+def nearest_sql(every: int, k: int = 10) -> str:
+    """The same search as DuckDB SQL over ``embeddings``, by comparing all pairs."""
+    return f"""
+        WITH fit AS (
+          SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE vec_id IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+            AND list_bool_or([x <> 0 FOR x IN embedding])
+        ), pairs AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+          FROM fit q JOIN fit c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+          WHERE q.vec_id % {every} = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank,
+               vec_id, score
+        FROM pairs QUALIFY rank <= {k}"""

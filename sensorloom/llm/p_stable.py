@@ -247,3 +247,24 @@ def _compare_tiles(table: pa.Table, cosine: float, tables: Tables) -> pa.Table:
 
 def _rows(a: list[int], b: list[int], n: list[int]) -> pa.Table:
     return pa.table({k: pa.array(v, pa.int64()) for k, v in (("a", a), ("b", b), ("n", n))})
+
+
+def near_duplicate_vectors_sql(cosine: float = 0.98) -> str:
+    """The same rows as DuckDB SQL over ``embeddings``, by comparing all pairs of a label."""
+    return f"""
+        WITH RECURSIVE fit AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL
+            AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+            AND list_bool_or([x <> 0 FOR x IN embedding])
+        ), links AS MATERIALIZED (
+          SELECT x.vec_id AS a, y.vec_id AS b
+          FROM fit x JOIN fit y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+          WHERE list_cosine_similarity(x.v, y.v) >= {cosine}
+        ), reach AS (
+          SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+        ), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, component_id,
+               coalesce(e.vec_id = component_id, true) AS kept
+        FROM embeddings e LEFT JOIN least ON least.a = e.vec_id"""

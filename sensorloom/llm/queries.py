@@ -86,6 +86,32 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units.report(_table(spark, sf_dir, "documents"))
 
 
+#: Near copies by counting common shingles of all pairs that have any.
+_NEAR_COPIES = r"""
+    WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ), shingled AS (
+      SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+               ELSE [array_to_string(w[i:i + 1], ' ') FOR i IN range(1, greatest(len(w), 2))] END) AS s
+      FROM worded
+    ), sets AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
+    ), common AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) + any_value(y.n) AS total, count(*) AS shared
+      FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+      WHERE 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n
+      GROUP BY x.doc_id, y.doc_id
+    ), links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * shared >= 80 * (total - shared)
+    ), reach AS (
+      SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+    ), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(doc_id = component_id, true) AS kept
+    FROM shingled LEFT JOIN least ON a = doc_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_p_stable, op2_minhash_forest, op3_personal_data, op4_byte_bpe, op5_mixing, op6_language,
@@ -95,4 +121,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_feistel": feistel.sharded_sql(shards=40)}
+    return {
+        "op1_p_stable": p_stable.near_duplicate_vectors_sql(cosine=0.98),
+        "op2_minhash_forest": _NEAR_COPIES,
+        "op8_feistel": feistel.sharded_sql(shards=40),
+        "op9_one_bit": one_bit.nearest_sql(every=100, k=10),
+    }
