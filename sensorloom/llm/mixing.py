@@ -260,3 +260,103 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     text = F.when(cut, F.concat(piece(2), piece(1))).otherwise(F.col("text"))
     copied = both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), rows)))
     return unboxed(copied, documents.columns, text=text)
+
+
+def _sainte_lague_sql(name: str, items: str, columns: str, within: str, votes: str, seats: str) -> str:
+    """CTEs for ``sainte_lague``; the last one, ``name``, has the columns and ``quota``."""
+    order = ", ".join(f"{column} NULLS FIRST" for column in columns.split(", "))
+    group = f"(PARTITION BY {within})"
+    return f"""
+        {name}_1 AS (SELECT *, {votes} / sum({votes}) OVER {group} AS share FROM {items}),
+        {name}_2 AS (SELECT *, floor(share * {seats} + 0.5)::BIGINT AS rounded FROM {name}_1),
+        {name}_3 AS (SELECT *, (ceil((abs({seats} - sum(rounded) OVER {group})
+                       + count(*) OVER {group}) * share) + 1)::BIGINT AS reach FROM {name}_2),
+        {name}_4 AS (SELECT *, greatest(rounded - reach, 0) AS sure FROM {name}_3),
+        {name}_5 AS (SELECT *, {seats} - sum(sure) OVER {group} AS vacant,
+                       unnest(range(sure, rounded + reach + 1)) AS k FROM {name}_4),
+        {name}_6 AS (SELECT *, row_number() OVER (PARTITION BY {within}
+                       ORDER BY {votes} / (2 * k + 1) DESC, {order}, k) <= vacant AS won FROM {name}_5),
+        {name} AS (SELECT {columns}, (any_value(sure) + count(*) FILTER (won))::BIGINT AS quota
+                   FROM {name}_6 GROUP BY {columns})"""
+
+
+def plan_sql(
+    most: int = 3,
+    weights: tuple[int, ...] = WEIGHTS,
+    seed: int = 1,
+    shard_words: int = SHARD_WORDS,
+    block_words: int = BLOCK_WORDS,
+) -> str:
+    """doc_id, size, source_size, target and taken of ``plan``, as DuckDB SQL over ``documents``."""
+    weight = ", ".join(map(str, weights))
+    return f"""
+        WITH sized AS (
+          SELECT doc_id, source, size,
+                 md5(coalesce(doc_id::VARCHAR, '-') || '|' || size || '|{seed}') AS digest
+          FROM (SELECT doc_id, source,
+                       coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM documents)
+        ), weighed AS (
+          SELECT source, sum(size)::BIGINT AS source_size, {most} * sum(size)::BIGINT AS most_words,
+                 [{weight}][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(weights)} + 1]
+                   ::DOUBLE AS weight
+          FROM sized GROUP BY source
+        ), leveled AS (
+          SELECT *, (sum(source_size) OVER () - coalesce(sum(most_words) OVER before, 0))::DOUBLE
+                    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS own_level
+          FROM weighed WINDOW before AS (ORDER BY most_words / weight, source IS NULL, source
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), sources AS (
+          SELECT source, source_size, least(most_words::DOUBLE, weight * (
+                   SELECT arg_min(own_level, most_words / weight) FROM leveled
+                   WHERE own_level * weight <= most_words)) AS target,
+                 greatest(ceil(source_size / {shard_words}), 1)::BIGINT AS shards,
+                 round(sum(source_size) OVER () / {block_words})::BIGINT AS all_blocks, 0 AS every
+          FROM leveled
+        ), placed AS (
+          SELECT sized.*, source_size, target, ('0x' || left(digest, 8))::BIGINT % shards AS shard
+          FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source
+        ), shards AS (
+          SELECT source, shard, sum(size)::BIGINT AS words,
+                 greatest(round(sum(size) / {block_words}), 1)::BIGINT AS blocks,
+                 shard // {FAN_OUT} AS family
+          FROM placed WHERE size > 0 GROUP BY source, shard
+        ), asked AS (SELECT * FROM sources WHERE target > 0),
+        {_sainte_lague_sql("dealt", "asked", "source, source_size", "every", "target", "all_blocks")},
+        source_seats AS (
+          SELECT d.source, least(round(d.quota * {block_words} * own / d.source_size),
+                                 {most} * own)::BIGINT AS seats
+          FROM dealt d JOIN (SELECT source, sum(blocks) AS own FROM shards GROUP BY source) b
+            ON d.source IS NOT DISTINCT FROM b.source
+        ), families AS (
+          SELECT f.*, seats FROM (SELECT source, family, sum(blocks)::BIGINT AS blocks FROM shards
+                                  GROUP BY source, family) f
+          JOIN source_seats s ON f.source IS NOT DISTINCT FROM s.source
+        ),
+        {_sainte_lague_sql("by_family", "families", "source, family", "source", "blocks", "seats")},
+        asking AS (
+          SELECT s.*, f.quota AS seats FROM shards s
+          JOIN by_family f ON s.source IS NOT DISTINCT FROM f.source AND s.family = f.family
+        ),
+        {_sainte_lague_sql("by_shard", "asking", "source, shard, words, blocks", "source, family",
+                           "blocks", "seats")},
+        given AS (
+          SELECT source, shard, words, blocks, least(quota, {most} * blocks) AS quota,
+                 ('0x' || left(md5(coalesce(source, '-') || '|' || shard || '|{seed}'), 8))::BIGINT
+                   % blocks AS first
+          FROM by_shard
+        ), edges AS (
+          SELECT source, shard, quota // blocks AS copies, first * words // blocks AS low,
+                 least(first + quota % blocks, blocks) * words // blocks AS high,
+                 greatest(first + quota % blocks - blocks, 0) * words // blocks AS wrapped
+          FROM given
+        ), ends AS (
+          SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY digest, doc_id NULLS FIRST, size
+                                    ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+          FROM placed
+        )
+        SELECT doc_id, size, source_size, target,
+               coalesce(copies * size
+                 + greatest(least(high, stop) - greatest(low, stop - size), 0)
+                 + greatest(least(wrapped, stop) - (stop - size), 0), 0)::BIGINT AS taken
+        FROM ends LEFT JOIN edges
+          ON ends.source IS NOT DISTINCT FROM edges.source AND ends.shard = edges.shard"""

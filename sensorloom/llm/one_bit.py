@@ -202,7 +202,8 @@ def nearest_sql(every: int, k: int = 10) -> str:
           WHERE vec_id IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
             AND list_bool_or([x <> 0 FOR x IN embedding])
         ), pairs AS (
-          SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 sqrt(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(q.v, c.v)])) AS score
           FROM fit q JOIN fit c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
           WHERE q.vec_id % {every} = 0
         )

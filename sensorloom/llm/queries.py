@@ -124,6 +124,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_p_stable": p_stable.near_duplicate_vectors_sql(cosine=0.98),
         "op2_minhash_forest": _NEAR_COPIES,
+        "op5_mixing": mixing.plan_sql(),
         "op8_feistel": feistel.sharded_sql(shards=40),
         "op9_one_bit": one_bit.nearest_sql(every=100, k=10),
     }
