@@ -22,6 +22,7 @@ from sensorloom import (
 )
 from sensorloom.functions.durations import milliseconds
 from sensorloom.operators import lateness
+from sensorloom.plans import reports
 from sensorloom.sources.streams import literal_messages
 
 GOOD = {
@@ -89,6 +90,13 @@ def test_audit_of_lateness_keeps_every_row(spark):
     assert windowed.where("batch_start IS NULL AND NOT is_late AND NOT is_dropped").count() == 2
 
 
+def test_route_totals_read_once(spark):
+    raw = literal_messages(spark, [("k", "{"), ("k", ""), ("k", body())])
+    totals = reports.route_totals(classify(decode(raw)))
+    assert {r.name: r.total for r in totals.collect()} == {"valid": 1, "dead_letter": 2}
+    assert totals._jdf.queryExecution().sparkPlan().toString().count("from_json(") == 1
+
+
 def test_silence_at_the_end_reads_once(spark):
     events = spark.range(10).selectExpr(
         "CONCAT('d', id % 3) AS device_id", "TIMESTAMP_SECONDS(id * 1000) AS event_time"
