@@ -67,7 +67,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and probability of the highest grade of each text."""
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = quality.scored(documents, quality.train(documents, quality.grades(labels)))
-    return scored.withColumn("selected", F.col("tail_probability") >= quality.SELECTED_FROM)
+    return scored.withColumn("kept", F.col("tail_probability") >= quality.SELECTED_FROM)
 
 
 def op8_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +82,8 @@ def op9_one_bit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated passages of each document, with their places."""
-    return repeated_units.report(_table(spark, sf_dir, "documents"))
+    """Every repeated passage that goes, with its place, and the document that keeps it."""
+    return repeated_units.repeated_runs(_table(spark, sf_dir, "documents"))
 
 
 #: Near copies by counting common shingles of all pairs that have any.

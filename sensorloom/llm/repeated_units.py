@@ -118,11 +118,12 @@ def cut(documents: DataFrame) -> DataFrame:
 
 
 def repeated_runs(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, begin, end, words, first_docs) of each run to remove.
+    """(doc_id, begin, end, words, first_doc_id) of each run to remove.
 
-    ``first_docs`` are the documents that hold its units first.  Rows that share
-    a doc_id are one document: the same unit at the same place is one
-    occurrence.  Null ids and null texts have no units.
+    ``first_doc_id`` is the document that holds its longest unit first, and keeps
+    it.  Rows that share a doc_id are one document: the same unit at the same
+    place is one occurrence.  Null ids and null texts have no units; documents
+    without repeats have no row; an empty table gives none.
     """
     units = saved(cut(documents), "units")
     # The rank as one number: the minimum is then a hash aggregate that meets map-side.
@@ -145,7 +146,7 @@ def repeated_runs(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataF
              F.max("end").alias("end"), F.min("source").alias("source"))
         .groupBy("doc_id", "run")
         .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("words").alias("words"),
-             F.array_sort(F.collect_set("source")).alias("first_docs"))
+             F.max_by("source", F.col("words").cast("long") * PLACES - F.col("place")).alias("first_doc_id"))
         .filter(F.col("words") >= least_words)
         .drop("run")
     )
@@ -163,7 +164,7 @@ def report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         F.count(F.lit(1)).alias("n_removed"),
         F.sum("words").alias("removed_words"),
         F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("first_docs")))).alias("first_docs"),
+        F.array_sort(F.collect_set("first_doc_id")).alias("first_docs"),
     )
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
     spans = F.transform("spans", lambda s: F.concat_ws(":", s["begin"], s["end"]))
