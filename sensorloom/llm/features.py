@@ -71,6 +71,7 @@ def sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
     limit = F.greatest(1.5 * per_label / F.col("_count"), F.lit(100) / F.col("_count")) * 1_000_000
     thinned = rows.select("doc_id", label).join(F.broadcast(counts), label).filter(order <= limit)
+    # About one and a half times the bound for each label, whatever the number of rows.
     ranked = thinned.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(label).orderBy(order, "doc_id"))
     )

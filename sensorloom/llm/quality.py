@@ -216,18 +216,10 @@ def scored(documents: DataFrame, model: Ordinal | None) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            tails = [np.empty((0, GRADES - 1))]
-            for text, slots, shape in parts(batch.column("text")):
-                part = np.ones((len(shape), GRADES - 1))
-                if own is not None:
-                    part = own.tails(own.rows(text, slots, shape))
-                part[shape[:, 0] == 0] = 0  # without words
-                tails.append(part)
-            every = np.concatenate(tails)
+            tails = tails_of(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(every.sum(axis=1)), pa.array(every[:, -1])],
+                [batch.column("doc_id"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
                 names=["doc_id", "expected_grade", "tail_probability"],
             )
 
@@ -235,14 +227,30 @@ def scored(documents: DataFrame, model: Ordinal | None) -> DataFrame:
     return frame.mapInArrow(run, _SCORED)
 
 
+def tails_of(texts: pa.Array, model: Ordinal | None) -> np.ndarray:
+    tails = [np.empty((0, GRADES - 1))]
+    for text, slots, shape in parts(texts):
+        part = np.ones((len(shape), GRADES - 1))
+        if model is not None:
+            part = model.tails(model.rows(text, slots, shape))
+        part[shape[:, 0] == 0] = 0  # without words
+        tails.append(part)
+    return np.concatenate(tails)
+
+
 def selected(documents: DataFrame, labels: DataFrame, least: float = SELECTED_FROM) -> DataFrame:
-    """The documents whose probability of the highest grade is ``least`` or more, all columns kept.
+    """The rows whose probability of the highest grade is ``least`` or more, all columns kept.
 
-    A doc_id that has several rows is kept if any of them is good; rows without
-    doc_id are kept, as no decision can be carried to them.
+    Each row is judged by its own text where it is, so nothing is shuffled for
+    it; rows without words go.
     """
     model = train(documents, grades(labels))
-    gone = scored(documents, model).groupBy("doc_id").agg(
-        F.max("tail_probability").alias("best")
-    ).filter(F.col("best") < least)
-    return documents.join(gone.select("doc_id"), "doc_id", "left_anti")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = tails_of(batch.column(at), shared.value)[:, -1] >= least
+            yield batch.filter(pa.array(good))
+
+    return documents.mapInArrow(run, documents.schema)
