@@ -249,3 +249,45 @@ def test_long_units_are_cut_alike():
     text, digest, count, *_ = repeated_units.units_of(*bytes_and_bounds(texts))
     shared = np.isin(digest[text == 1], digest[text == 0])
     assert count[text == 1][shared].sum() > 900
+
+
+def letters(draw, count):
+    return ["".join(draw.choices("abcdefgh", k=5)) for _ in range(count)]
+
+
+def test_passages_at_any_word_and_in_other_case_are_found_whole(spark):
+    draw = random.Random(51)
+    texts, places = [], {}
+    for n in range(40):
+        passage = letters(draw, 51)
+        for k in range(3):
+            words = letters(draw, draw.randrange(60, 150))
+            words[7::11] = [w + "." for w in words[7::11]]
+            at = draw.randrange(len(words))
+            own = [w.upper() for w in passage] if k == 1 else passage
+            texts.append((3 * n + k, " ".join([*words[:at], *own, *words[at:]])))
+            begin = len(" ".join(words[:at])) + (at > 0)
+            places[3 * n + k] = (begin, begin + len(" ".join(own)))
+    table = spark.createDataFrame(texts, "doc_id LONG, text STRING").repartition(4)
+    found = [(r.doc_id, r.begin, r.end, r.words, r.first_doc_id)
+             for r in repeated_units.repeated_runs(table).collect()]
+    assert sorted(found) == [
+        (d, *places[d], 51, d - d % 3) for d in sorted(places) if d % 3
+    ]
+    cleaned = {r.doc_id: r.text for r in repeated_units.cleaned(table, passages=True).collect()}
+    for d, text in texts:
+        begin, end = places[d] if d % 3 else (0, 0)
+        assert cleaned[d] == text[:begin] + text[end:]
+
+
+def test_a_short_phrase_seen_earlier_does_not_shorten_a_passage(spark):
+    """The words at a passage's edge occur first in another text, without the passage."""
+    draw = random.Random(13)
+    passage = letters(draw, 60)
+    texts = [(0, " ".join([*letters(draw, 30), *passage[10:24], *letters(draw, 30)]))]
+    texts += [(1, " ".join([*letters(draw, 30), *passage[3:27], *letters(draw, 30)]))]
+    texts += [(n, " ".join([*letters(draw, 30), *passage, *letters(draw, 30)])) for n in (2, 3)]
+    table = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    rows = {r.doc_id: r for r in repeated_units.repeated_runs(table).collect()}
+    assert set(rows) == {3} and rows[3].words == 60 and rows[3].first_doc_id == 2
+    assert texts[3][1][rows[3].begin : rows[3].end] == " ".join(passage)
