@@ -7,8 +7,8 @@
    hashed to 64 bits.
 3. The digests are grouped over all documents.  The occurrence ranked first, by
    (doc_id, place), stays; the others are repeats.
-4. A repeated line of ``LEAST_LINE`` words or more goes, and with its lines a
-   paragraph.
+4. A repeated line of ``LEAST_LINE`` words or more goes, so at any length, and
+   with its lines a paragraph.
 5. Neighbouring repeats of a document form a run.  Runs of at least
    ``LEAST_WORDS`` words go, with their place in the original text kept.
 6. A passage need not begin or end where a unit does.  So runs of ``GRAM`` words
@@ -35,7 +35,7 @@ LONG = 48
 #: One word in so many ends a part of a long unit.
 CUT = np.uint64(16)
 LEAST_WORDS = 25
-LEAST_LINE = 25
+LEAST_LINE = 1
 #: Equal runs of GRAM + WINDOW - 1 words have an anchor in common.
 GRAM = 13
 WINDOW = 13

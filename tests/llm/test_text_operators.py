@@ -291,3 +291,20 @@ def test_a_short_phrase_seen_earlier_does_not_shorten_a_passage(spark):
     rows = {r.doc_id: r for r in repeated_units.repeated_runs(table).collect()}
     assert set(rows) == {3} and rows[3].words == 60 and rows[3].first_doc_id == 2
     assert texts[3][1][rows[3].begin : rows[3].end] == " ".join(passage)
+
+
+def test_repeated_lines_go_at_any_length(spark):
+    texts = [
+        (0, "All rights reserved.\nOne of a kind.\n\nShare this page now"),
+        (1, "Other text here.\n  ALL rights  reserved.\nShare this page now\nQuite new."),
+        (2, "He said all rights reserved. And left.\nAll rights reserved."),
+        (3, "ok\nfresh\nok"),
+    ]
+    table = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    cleaned = {r.doc_id: r.text.split("\n") for r in repeated_units.cleaned(table).collect()}
+    assert cleaned[0] == texts[0][1].split("\n")
+    assert cleaned[1] == ["Other text here.", "  ", "", "Quite new."]
+    assert cleaned[2] == ["He said all rights reserved. And left.", ""]
+    assert cleaned[3] == ["ok", "fresh", ""]
+    rows = [(r.doc_id, r.words, r.first_doc_id) for r in repeated_units.repeated_runs(table).collect()]
+    assert sorted(rows) == [(1, 3, 0), (1, 4, 0), (2, 3, 0), (3, 1, 3)]
