@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm import (
+    alignment,
     byte_bpe,
     feistel,
+    fill_middle,
     language,
     minhash_forest,
     mixing,
@@ -19,7 +21,10 @@ from sensorloom.llm import (
     personal_data,
     quality,
     repeated_units,
+    secret_scan,
 )
+from sensorloom.llm.tables import saved
+from sensorloom.session import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +91,26 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units.repeated_runs(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between two vocabularies' tokens of each text, scored by the corpus."""
+    return alignment.scored(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, by a ledger that begins empty."""
+    return secret_scan.report(_table(spark, sf_dir, "documents"), new_folder(spark, "ledger"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of each transformed text, from a table of its frames."""
+    store = saved(fill_middle.stored(_table(spark, sf_dir, "documents")), "frames")
+    return fill_middle.report(store)
+
+
 #: Near copies by counting common shingles of all pairs that have any.
 _NEAR_COPIES = r"""
     WITH RECURSIVE worded AS (
@@ -115,7 +140,8 @@ _NEAR_COPIES = r"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_p_stable, op2_minhash_forest, op3_personal_data, op4_byte_bpe, op5_mixing, op6_language,
-        op7_quality, op8_feistel, op9_one_bit, op10_repeated_units,
+        op7_quality, op8_feistel, op9_one_bit, op10_repeated_units, op11_alignment, op12_secret_scan,
+        op13_fill_middle,
     )
     return {query.__name__: query for query in every}
 
@@ -127,4 +153,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": mixing.plan_sql(),
         "op8_feistel": feistel.sharded_sql(shards=40),
         "op9_one_bit": one_bit.nearest_sql(every=100, k=10),
+        "op12_secret_scan": secret_scan.report_sql(),
+        "op13_fill_middle": fill_middle.report_sql(),
     }
