@@ -27,7 +27,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +38,15 @@ from pyspark.sql import functions as F
 from sensorloom.llm.tables import saved
 
 #: Bytes of a lane, and of texts that are taken together; a longer text is taken alone.
-LANE, GROUP_BYTES = 2048, 1 << 20
+LANE, GROUP_BYTES = 2048, 1 << 21
 #: Pairs of one expansion.
 BLOCK_PAIRS = 1 << 21
+#: From which length on a chunk is encoded alone, and how many shorter ones are together.
+LONG_CHUNK, RUN_CHUNKS = 256, 4096
+#: A character that no Unicode version takes for white space; a chunk ends between two of them.
+_ANY_SOLID = "[^\\s\u180e\u200b-\u200f\u2060\ufeff]"
+_SOLID = re.compile(f"{_ANY_SOLID}(?:.*{_ANY_SOLID})?", re.DOTALL).fullmatch
+_CHUNK = re.compile(f"(?<={_ANY_SOLID}) (?={_ANY_SOLID})")
 #: Most pairs whose counts are broadcast.
 FREQUENT = 500_000
 
@@ -81,25 +87,100 @@ class Vocabularies:
         ]
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        inner_space = any("▁" in p.lstrip("▁") for p in pieces)
+        self.chunk = None if inner_space else _CHUNK
         #: Id and separator: within a side, at the end of a side.
         self.written = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"]
         self.written += [f"{i}{end}" for i in range(len(self.b_bytes)) for end in ",;"]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """(A ids, B ids) of each text; none where a vocabulary doesn't give the text back."""
-        spaced = [f" {text}" for text in texts]
-        of_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        of_b = self.b.encode(texts, num_threads=1)
-        found = []
-        for text, a, b in zip(spaced, of_a, of_b, strict=True):
-            raw = text.encode()
-            whole = (
-                len(raw) > 1
-                and b"".join(map(self.a_bytes.__getitem__, a)) == raw
-                and b"".join(map(self.b_bytes.__getitem__, b)) == raw
-            )
-            found.append((a, b) if whole else ([], []))
-        return found
+    def encode(self, texts: list[str]) -> tuple[Ragged, Ragged]:
+        """A and B ids of each text; none where a vocabulary doesn't give the text back.
+
+        A text is encoded by its chunks, which end before a space between two other
+        characters.  No match of A's pattern reaches over such a place, and no piece
+        of B if pieces hold spaces only in front; otherwise texts are single chunks.
+        Each distinct chunk is encoded once.
+        """
+        chunked = [(self.chunk.split(t) if self.chunk else [t]) if t else [] for t in texts]
+        number = {chunk: i for i, chunk in enumerate(dict.fromkeys(chain.from_iterable(chunked)))}
+        of_a, of_b, whole = self._encode(list(number))
+        bounds = np.array([0, *accumulate(map(len, chunked))], np.int64)
+        used = np.fromiter(map(number.__getitem__, chain.from_iterable(chunked)), np.int64, bounds[-1])
+        wrong = np.concatenate(([0], np.cumsum(~whole[used])))[bounds]
+        kept = np.diff(wrong) == 0
+        used, bounds = used[np.repeat(kept, np.diff(bounds))], _bounds(np.diff(bounds) * kept)
+        return _taken(of_a, used, bounds), _taken(of_b, used, bounds)
+
+    def _encode(self, chunks: list[str]) -> tuple[Ragged, Ragged, np.ndarray]:
+        """A ids, B ids and whether both give it back, of each chunk with a space in front.
+
+        Most are encoded together, with spaces between, and told apart by their bytes.
+        """
+        together = [
+            i for i, c in enumerate(chunks) if self.chunk and len(c) < LONG_CHUNK and "▁" not in c and _SOLID(c)
+        ]
+        whole = np.ones(len(chunks), bool)
+        order, of_a, of_b = [], [], []
+        for at in range(0, len(together), RUN_CHUNKS):
+            rows = together[at : at + RUN_CHUNKS]
+            found = self._encode_run([chunks[i] for i in rows])
+            if found is not None:
+                order.append(rows)
+                of_a.append(found[0])
+                of_b.append(found[1])
+        done = np.zeros(len(chunks), bool)
+        done[list(chain.from_iterable(order))] = True
+        for i in np.flatnonzero(~done).tolist():
+            a, b, whole[i] = self._encode_one(chunks[i])
+            order.append([i])
+            of_a.append((a, np.array([0, len(a)])))
+            of_b.append((b, np.array([0, len(b)])))
+        place = np.empty(len(chunks), np.int64)
+        place[list(chain.from_iterable(order))] = np.arange(len(chunks))
+        alone = np.arange(len(chunks) + 1)
+        return _taken(_joined(of_a), place, alone), _taken(_joined(of_b), place, alone), whole
+
+    def _encode_run(self, chunks: list[str]) -> tuple[Ragged, Ragged] | None:
+        a, b, whole = self._encode_one(" ".join(chunks))
+        ends = np.cumsum([len(chunk.encode()) + 1 for chunk in chunks])
+        of_a, of_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        last_a, last_b = np.searchsorted(of_a, ends), np.searchsorted(of_b, ends)
+        if not whole or (of_a[last_a] != ends).any() or (of_b[last_b] != ends).any():
+            return None
+        return (a, np.concatenate(([0], last_a + 1))), (b, np.concatenate(([0], last_b + 1)))
+
+    def _encode_one(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        raw = f" {text}".encode()
+        a = self.a.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        whole = (
+            b"".join(map(self.a_bytes.__getitem__, a)) == raw
+            and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+        )
+        return np.array(a, np.int64), np.array(b, np.int64), whole
+
+
+#: Lists one after another, and where each begins; ends with the end.
+Ragged = tuple[np.ndarray, np.ndarray]
+
+
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _joined(parts: list[Ragged]) -> Ragged:
+    empty = np.empty(0, np.int64)
+    sizes = np.concatenate([empty, *[np.diff(bounds) for _, bounds in parts]])
+    return np.concatenate([empty, *[values for values, _ in parts]]), _bounds(sizes)
+
+
+def _taken(lists: Ragged, numbers: np.ndarray, bounds: np.ndarray) -> Ragged:
+    """The lists of these numbers; those between two bounds are joined."""
+    values, starts = lists
+    sizes = np.diff(starts)[numbers]
+    ends = _bounds(sizes)
+    at = np.repeat(starts[numbers] - ends[:-1], sizes) + np.arange(ends[-1])
+    return values[at], ends[bounds]
 
 
 @lru_cache(maxsize=2)
@@ -145,12 +226,9 @@ def cuts(
 class Aligned:
     """Some texts' tokens one after another, and the cuts of all of them."""
 
-    def __init__(self, encoded: list[tuple[list[int], list[int]]], known: Vocabularies) -> None:
+    def __init__(self, encoded: tuple[Ragged, Ragged], known: Vocabularies) -> None:
         self.known = known
-        self.bounds_a = np.array([0, *accumulate(len(a) for a, _ in encoded)], np.int64)
-        self.bounds_b = np.array([0, *accumulate(len(b) for _, b in encoded)], np.int64)
-        self.a = np.fromiter((i for a, _ in encoded for i in a), np.int64, self.bounds_a[-1])
-        self.b = np.fromiter((i for _, b in encoded for i in b), np.int64, self.bounds_b[-1])
+        (self.a, self.bounds_a), (self.b, self.bounds_b) = encoded
         ends_a, ends_b = np.cumsum(known.a_sizes[self.a]), np.cumsum(known.b_sizes[self.b])
         bounds = np.concatenate(([0], ends_a))[self.bounds_a]
         self.cuts_a, self.cuts_b = cuts(ends_a, ends_b, bounds)

@@ -92,7 +92,7 @@ def test_lanes_change_nothing(lane):
 
 def test_a_large_group_is_counted_before_it_meets():
     known = alignment._vocabularies(*alignment._files(*PATHS))
-    found = alignment.Aligned([([], [])], known)
+    found = alignment.Aligned(known.encode([""]), known)
     found.a, found.b = np.zeros(50_000, np.int64), np.arange(50_000) % 3
     found.sizes_a = found.sizes_b = np.array([50_000])
     found.group_bounds = np.array([0, 1])
