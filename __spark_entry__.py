@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 import sensorloom as sl
 from sensorloom.contract import AGGREGATE_SCHEMA
 from sensorloom.functions.durations import interval
+from sensorloom.operators.quiet import quiet_signals_with_heartbeat
+from sensorloom.operators.replay_ledger import replay_once as replay_run
+from sensorloom.operators.replay_ledger import replayed
 from sensorloom.plans import reports
-from sensorloom.session import new_folder, stream_session
+from sensorloom.session import heartbeat_session, new_folder, stream_session
 from sensorloom.sources.streams import envelope_stream, read_results, reading_lines_stream
 from sensorloom.streaming.job import JobSettings, start_queries
+from sensorloom.streaming.late_table import append_late_rows, read_late_rows
 from sensorloom.streaming.metrics import recent_progress
+from sensorloom.streaming.open_windows import open_windows
 from sensorloom.streaming.sinks import append_to_parquet
+from sensorloom.streaming.staged import VALID, staged_stream, start_stage, start_staged_queries
 from sensorloom.streaming.upserts import read_upserts, upsert_writer
 
 # --------------------------------------------------------------------------
@@ -448,24 +454,30 @@ def stream_dedup(spark, sf_dir):
     return _closed(spark, sf_dir, build)[0]
 
 
+MESSAGE_SCHEMA = "key STRING, value STRING, arrival_time TIMESTAMP"
 #: Days of arrival at which the message stream is cut into parts that come one by one.
 PART_DAYS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
 
 
-def _in_parts(spark, sf_dir, build):
-    """As ``_closed``, with messages that come in parts, over one checkpoint."""
-    session = stream_session(spark)
-    folder = new_folder(spark, "parts")
-    raw = messages(spark, sf_dir)
+def _parts(raw, folder):
+    """Put the messages into an inbox part by part; a stream over it sees one more each time."""
+    spark = raw.sparkSession
     days = [F.lit(day).cast("timestamp") for day in PART_DAYS]
     part = sum((F.col("arrival_time") >= day).cast("int") for day in days)
     cut = raw.withColumn("part", part).repartition("part")
     cut.write.partitionBy("part").parquet(f"{folder}/sent")
-    schema = "key STRING, value STRING, arrival_time TIMESTAMP"
     for number in range(len(PART_DAYS) + 1):
-        whole = spark.read.schema(schema).parquet(f"{folder}/sent").where(F.col("part") == number)
+        whole = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{folder}/sent").where(F.col("part") == number)
         whole.drop("part").write.mode("append").parquet(f"{folder}/inbox")
-        stream = envelope_stream(session, f"{folder}/inbox", schema)
+        yield number
+
+
+def _in_parts(spark, sf_dir, build):
+    """As ``_closed``, with messages that come in parts, over one checkpoint."""
+    session = stream_session(spark)
+    folder = new_folder(spark, "parts")
+    for _ in _parts(messages(spark, sf_dir), folder):
+        stream = envelope_stream(session, f"{folder}/inbox", MESSAGE_SCHEMA)
         append_to_parquet(
             build(_classified(stream)), f"{folder}/table", f"{folder}/checkpoint", None
         ).awaitTermination()
@@ -524,23 +536,21 @@ def stream_metrics(spark, sf_dir):
     )
 
 
-def stream_two_queries(spark, sf_dir):
-    """The job as it runs live: two queries, two tables, two checkpoints."""
-    session = stream_session(spark)
-    folder = new_folder(spark, "job")
-    settings = JobSettings(
+def _job(spark, folder):
+    return JobSettings(
         output_path=f"{folder}/aggregates",
         dead_letter_path=f"{folder}/dead_letter",
         checkpoint_path=f"{folder}/checkpoint",
+        stage_path=f"{folder}/staged",
         window_duration="1 day",
         watermark_delay="2 hours",
         tables_by_date=True,
         files_per_batch=2,
         future_tolerance="1 hour",
     )
-    raw = message_stream(session, sf_dir)
-    for query in start_queries(raw, settings, until_done=True, arrival_col="arrival_time"):
-        query.awaitTermination()
+
+
+def _job_totals(spark, settings):
     aggregates = read_results(spark, settings.output_path)
     dead = read_results(spark, settings.dead_letter_path)
     return (
@@ -554,6 +564,85 @@ def stream_two_queries(spark, sf_dir):
     )
 
 
+def stream_two_queries(spark, sf_dir):
+    """The job as it runs live: two queries, two tables, two checkpoints."""
+    settings = _job(spark, new_folder(spark, "job"))
+    raw = message_stream(stream_session(spark), sf_dir)
+    for query in start_queries(raw, settings, until_done=True, arrival_col="arrival_time"):
+        query.awaitTermination()
+    return _job_totals(spark, settings)
+
+
+def stream_staged_queries(spark, sf_dir):
+    """The same tables with one read and one parse, over a staged table."""
+    settings = _job(spark, new_folder(spark, "staged_job"))
+    raw = message_stream(stream_session(spark), sf_dir)
+    for query in start_staged_queries(raw, settings, until_done=True, arrival_col="arrival_time"):
+        query.awaitTermination()
+    return _job_totals(spark, settings)
+
+
+def _slow_devices(raw: DataFrame) -> DataFrame:
+    """Devices whose key ends with 5 send a day late."""
+    late = F.when(F.col("key").endswith("5"), F.col("arrival_time") + interval("1 day"))
+    return raw.withColumn("arrival_time", F.coalesce(late, "arrival_time"))
+
+
+def stream_late_table(spark, sf_dir):
+    """The rows that hour windows drop as late, written batch by batch."""
+    session = stream_session(spark)
+    folder = new_folder(spark, "late")
+    for _ in _parts(_slow_devices(messages(spark, sf_dir)), folder):
+        inbox = envelope_stream(session, f"{folder}/inbox", MESSAGE_SCHEMA)
+        start_stage(
+            inbox, f"{folder}/staged", f"{folder}/stage", None, arrival_col="arrival_time"
+        ).awaitTermination()
+        valid = staged_stream(session, f"{folder}/staged", VALID)
+        windows = sl.windowed_aggregates(valid, "1 hour", "10 minutes")
+        append_to_parquet(windows, f"{folder}/table", f"{folder}/checkpoint", None).awaitTermination()
+        append_late_rows(spark, f"{folder}/staged", f"{folder}/checkpoint", f"{folder}/late", "1 hour")
+    return _plain_times(read_late_rows(spark, f"{folder}/late").drop("batch_id"))
+
+
+def stream_open_windows(spark, sf_dir):
+    """Every window once: emitted ones from the table, open ones from the state."""
+    session = stream_session(spark)
+    folder = new_folder(spark, "open")
+    valid = sl.valid_rows(_classified(message_stream(session, sf_dir)))
+    windows = sl.windowed_aggregates(valid, "1 day", "2 hours")
+    append_to_parquet(windows, f"{folder}/table", f"{folder}/checkpoint", None).awaitTermination()
+    emitted = read_results(spark, f"{folder}/table").withColumn("is_open", F.lit(False))
+    held = open_windows(spark, f"{folder}/checkpoint").withColumn("is_open", F.lit(True))
+    return _plain_times(emitted.unionByName(held))
+
+
+def stream_silent_fleet(spark, sf_dir):
+    """All devices stop at the end of the table; hourly ticks go on for three days."""
+    session = heartbeat_session(spark)
+    folder = new_folder(spark, "silent")
+    ends = _valid(spark, sf_dir).agg(F.min("event_time").alias("a"), F.max("event_time").alias("b"))
+    ticks = ends.select(
+        F.explode(F.sequence("a", F.col("b") + interval("3 days"), interval("1 hour"))).alias("timestamp")
+    )
+    ticks.write.parquet(f"{folder}/ticks")
+    heartbeats = session.readStream.schema("timestamp TIMESTAMP").parquet(f"{folder}/ticks")
+    valid = sl.valid_rows(_classified(message_stream(session, sf_dir)))
+    signals = quiet_signals_with_heartbeat(valid, heartbeats, "12 hours", "2 hours", "1 day")
+    append_to_parquet(signals, f"{folder}/table", f"{folder}/checkpoint", None).awaitTermination()
+    return _plain_times(read_results(spark, f"{folder}/table"))
+
+
+def replay_once(spark, sf_dir):
+    """Letters replayed as they come in, and all of them twice more: each counts once."""
+    folder = new_folder(spark, "replay")
+    path = f"{folder}/letters"
+    _stamped(spark, sf_dir).select("raw_value", "device_id", "error_reason", "quarantined_at").write.parquet(path)
+    letters = spark.read.parquet(path)
+    for until in ("2024-01-11", "2024-01-21", "2025-01-01", "2025-01-01"):
+        replay_run(letters.where(F.col("quarantined_at") < F.lit(until).cast("timestamp")), folder, _mended)
+    return _plain_times(replayed(spark, folder))
+
+
 def stream_restart(spark, sf_dir):
     """JSON lines arrive in two parts; the second run goes on from the checkpoint."""
     session = stream_session(spark)
@@ -617,6 +706,7 @@ _QUERIES = (
     dead_letter_spikes,
     replay,
     replay_still_refused,
+    replay_once,
     stream_windows,
     stream_sliding,
     stream_dead_letters,
@@ -628,6 +718,10 @@ _QUERIES = (
     stream_dead_letter_rate,
     stream_metrics,
     stream_two_queries,
+    stream_staged_queries,
+    stream_late_table,
+    stream_open_windows,
+    stream_silent_fleet,
     stream_restart,
     upserts,
 )
@@ -807,6 +901,18 @@ _GAPS = """
   FROM valid
 )"""
 
+_SESSIONS = """, starts AS (
+              SELECT device_id, event_time,
+                     coalesce(event_time - lag(event_time) OVER d > INTERVAL 12 HOUR, true)
+                       AS fresh
+              FROM valid WINDOW d AS (PARTITION BY device_id ORDER BY event_time)
+            ), sessions AS (
+              SELECT *, sum(fresh::INT) OVER (PARTITION BY device_id ORDER BY event_time) AS session
+              FROM starts)
+            SELECT device_id, min(event_time) AS active_from, max(event_time) AS quiet_from,
+                   count(*) AS event_count
+            FROM sessions GROUP BY device_id, session"""
+
 _RATES = f"""
 , rates AS (
   SELECT {_bucket("arrival_time", 6 * _HOUR)} AS window_start, count(*) AS records,
@@ -836,6 +942,12 @@ _MENDED = f"""
 )"""
 
 
+_REPLAY = f"""{_MENDED}
+            SELECT sent_id AS device_id, taken AS event_time, new_metric AS metric_type,
+                   reading AS value, site AS site_id, firmware AS firmware_version
+            FROM again WHERE new_reason IS NULL"""
+
+
 def _rate_select(past: str = "") -> str:
     return f"""SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, records,
         dead_letters, round(rate, 6) AS rate {past}"""
@@ -844,19 +956,34 @@ def _rate_select(past: str = "") -> str:
 _FUTURE = """CASE WHEN error_reason IS NULL AND device_key LIKE '%5'
   AND event_time > arrival_time - INTERVAL 47 HOUR THEN 'future_timestamp' ELSE error_reason END"""
 
+
 # Parts by arrival; a part meets the watermark that the parts before it have left.
-_PARTS = f"""
+def _parts_with(arrival: str) -> str:
+    return f"""
 , parts AS (
-  SELECT *, {" + ".join(f"(arrival_time >= TIMESTAMP '{day}')::INT" for day in PART_DAYS)} AS part
+  SELECT *, {" + ".join(f"({arrival} >= TIMESTAMP '{day}')::INT" for day in PART_DAYS)} AS part
   FROM valid
 ), part_marks AS (
   SELECT p.n AS part, max(date_trunc('millisecond', event_time)) - INTERVAL 10 MINUTE AS mark
   FROM generate_series(0, {len(PART_DAYS) + 1}) AS p(n) LEFT JOIN parts ON parts.part < p.n
   GROUP BY p.n
-), in_time AS (
+)"""
+
+
+_PARTS = f"""{_parts_with("arrival_time")}, in_time AS (
   SELECT parts.* FROM parts JOIN part_marks USING (part)
   WHERE mark IS NULL OR {_bucket("event_time", _HOUR)} + INTERVAL 1 HOUR > mark
 )"""
+# The senders of late messages have a key that ends with 5; an odd id holds its number in decimal.
+_SLOW = """arrival_time + CASE WHEN CASE WHEN device_id LIKE 'unit-%'
+    THEN to_hex(try_cast(substr(device_id, 6) AS BIGINT)) ELSE device_id END LIKE '%5'
+  THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END"""
+
+_JOB = f"""{_DAYS}
+            SELECT metric_type AS name, count(*) AS table_rows,
+                   sum(event_count)::BIGINT AS messages
+            FROM days WHERE window_end <= {_MARK} GROUP BY metric_type
+            UNION ALL SELECT error_reason, count(*), count(*) FROM dead GROUP BY error_reason"""
 
 
 def _parts_sql(source: str) -> str:
@@ -974,10 +1101,8 @@ def oracle_sql() -> dict[str, str]:
             {_rate_select(''', round(past_rate, 6) AS past_rate,
               coalesce(rate >= past_rate * 1.2, false) AS is_spike''')}
             FROM rates LEFT JOIN past USING (window_start)""",
-        "replay": f"""{_MENDED}
-            SELECT sent_id AS device_id, taken AS event_time, new_metric AS metric_type,
-                   reading AS value, site AS site_id, firmware AS firmware_version
-            FROM again WHERE new_reason IS NULL""",
+        "replay": _REPLAY,
+        "replay_once": _REPLAY,
         "replay_still_refused": f"""{_MENDED}
             SELECT new_reason AS error_reason, count(*) AS n FROM again
             WHERE new_reason IS NOT NULL GROUP BY ALL""",
@@ -990,18 +1115,9 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT DISTINCT device_id, metric_type, event_time, value FROM in_time)"
         ),
         "stream_first_copies": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
-        "stream_quiet_devices": f""", starts AS (
-              SELECT device_id, event_time,
-                     coalesce(event_time - lag(event_time) OVER d > INTERVAL 12 HOUR, true)
-                       AS fresh
-              FROM valid WINDOW d AS (PARTITION BY device_id ORDER BY event_time)
-            ), sessions AS (
-              SELECT *, sum(fresh::INT) OVER (PARTITION BY device_id ORDER BY event_time) AS session
-              FROM starts)
-            SELECT device_id, min(event_time) AS active_from, max(event_time) AS quiet_from,
-                   count(*) AS event_count
-            FROM sessions GROUP BY device_id, session
+        "stream_quiet_devices": f"""{_SESSIONS}
             HAVING max(event_time) + INTERVAL 12 HOUR <= {_MARK}""",
+        "stream_silent_fleet": _SESSIONS,
         "stream_dead_letter_rate": f"""{_RATES}
             {_rate_select(', rate >= 0.5 AS is_spike')} FROM rates
             WHERE window_start + INTERVAL 6 HOUR
@@ -1011,11 +1127,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT (SELECT count(*) FROM classified) AS input_rows,
                    count(*) FILTER (window_end > {_MARK}) AS open_groups,
                    0::BIGINT AS dropped_rows FROM days""",
-        "stream_two_queries": f"""{_DAYS}
-            SELECT metric_type AS name, count(*) AS table_rows,
-                   sum(event_count)::BIGINT AS messages
-            FROM days WHERE window_end <= {_MARK} GROUP BY metric_type
-            UNION ALL SELECT error_reason, count(*), count(*) FROM dead GROUP BY error_reason""",
+        "stream_two_queries": _JOB,
+        "stream_staged_queries": _JOB,
+        "stream_late_table": f"""{_parts_with(_SLOW)}
+            SELECT device_id, event_time, metric_type, value, site_id, firmware_version, mark AS watermark
+            FROM parts JOIN part_marks USING (part)
+            WHERE {_bucket("event_time", _HOUR)} + INTERVAL 1 HOUR <= mark""",
+        "stream_open_windows": f"""SELECT *, window_end > {_MARK} AS is_open FROM ({_window_sql(_DAY)})""",
         "stream_restart": _closed_sql(_HOUR),
         "upserts": _window_sql(_DAY),
     }

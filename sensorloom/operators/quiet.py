@@ -50,12 +50,45 @@ def quiet_signals(events: DataFrame, threshold: str, watermark_delay: str) -> Da
     Gives ``device_id, active_from, quiet_from, event_count``.  On a stream in
     append mode a row appears when the watermark passes the last reading plus
     ``threshold``.  The watermark is moved by the whole fleet: if every device
-    stops, nothing is reported.
+    stops, nothing is reported, unless there is a heartbeat
+    (:func:`quiet_signals_with_heartbeat`).
     """
+    return _sessions(watermarked(events, "event_time", watermark_delay), threshold)
+
+
+def quiet_signals_with_heartbeat(
+    events: DataFrame,
+    heartbeats: DataFrame,
+    threshold: str,
+    watermark_delay: str,
+    heartbeat_delay: str,
+    beat_col: str = "timestamp",
+) -> DataFrame:
+    """``quiet_signals`` that also tells of a fleet that has fallen silent as a whole.
+
+    ``heartbeats`` is a stream of clock ticks in ``beat_col``, such as Spark's rate
+    source.  Readings and ticks carry a watermark each, and the query must go by the
+    greater one: start it in a session with ``spark.sql.streaming.multipleWatermarkPolicy``
+    ``max`` (:func:`sensorloom.session.heartbeat_session`).  Ticks then move time on when
+    no reading does.  ``heartbeat_delay`` is how far a reading may lag behind the
+    clock; a reading that is older than both watermarks is dropped as late.
+
+    Ticks belong to no device.  They share one session, which is left out at the
+    end by its count of devices; a filter before that would take them from the
+    watermark as well.
+    """
+    readings = watermarked(events, "event_time", watermark_delay).select("device_id", "event_time")
+    ticks = heartbeats.select(F.col(beat_col).alias("event_time"))
+    beats = watermarked(ticks, "event_time", heartbeat_delay).select(
+        F.lit(None).cast("string").alias("device_id"), "event_time"
+    )
+    return _sessions(readings.unionByName(beats), threshold).where("event_count > 0")
+
+
+def _sessions(rows: DataFrame, threshold: str) -> DataFrame:
     return (
-        watermarked(events, "event_time", watermark_delay)
-        .groupBy(F.session_window("event_time", threshold).alias("session"), "device_id")
-        .agg(F.count(F.lit(1)).alias("event_count"))
+        rows.groupBy(F.session_window("event_time", threshold).alias("session"), "device_id")
+        .agg(F.count("device_id").alias("event_count"))
         .select(
             "device_id",
             F.col("session.start").alias("active_from"),

@@ -58,6 +58,11 @@ def _flat(aggregated: DataFrame) -> DataFrame:
     return aggregated.select(*[made.get(n, F.col(n)).alias(n) for n in AGGREGATE_COLUMNS])
 
 
+def finished_windows(partial: DataFrame) -> DataFrame:
+    """Result rows of windows whose running statistics are columns already."""
+    return _flat(partial)
+
+
 def windowed_aggregates(
     valid: DataFrame,
     window_duration: str = "1 minute",

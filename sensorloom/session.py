@@ -65,6 +65,13 @@ def stream_session(
     return sibling
 
 
+def heartbeat_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for queries over several streams that go by the greatest of their watermarks."""
+    session = stream_session(spark, partitions)
+    session.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+    return session
+
+
 def _is_set(spark: SparkSession, name: str) -> bool:
     """Did anybody choose a value, on the cluster or in the session?"""
     default = spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(name)

@@ -4,7 +4,7 @@
 
 Two queries, because only the aggregates have to wait for the watermark; a
 dead letter is written with the next batch.  The price is a second read of the
-topic.
+topic, unless ``stage_path`` names a table for what is read and parsed once.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from sensorloom.plans.pipeline import telemetry_tables
 from sensorloom.session import telemetry_session
 from sensorloom.sources.streams import kafka_stream
 from sensorloom.streaming.sinks import append_to_parquet
+from sensorloom.streaming.staged import start_staged_queries
 
 log = logging.getLogger(__name__)
 
@@ -45,6 +46,11 @@ class JobSettings:
     tables_by_date: bool = False
     merge_redelivered: bool = False
     future_tolerance: str = ""
+    # A staged table, so that messages are read and parsed once; empty means two reads.
+    # Its own interval and that of the dead letters; empty means the trigger interval.
+    stage_path: str = ""
+    stage_interval: str = ""
+    dead_letter_interval: str = ""
 
     @classmethod
     def from_environment(cls, environment: Mapping[str, str] = os.environ) -> JobSettings:
@@ -57,8 +63,8 @@ class JobSettings:
 
     def require_shared_paths(self) -> None:
         """Paths without a root belong to one machine, whatever the cluster."""
-        for path in (self.output_path, self.dead_letter_path, self.checkpoint_path):
-            if not (path.startswith("/") or "://" in path):
+        for path in (self.output_path, self.dead_letter_path, self.checkpoint_path, self.stage_path):
+            if path and not (path.startswith("/") or "://" in path):
                 raise ValueError(f"{path!r} is relative; name a folder that all executors reach")
 
 
@@ -120,7 +126,8 @@ def run(spark: SparkSession, settings: JobSettings) -> None:
         settings.starting_offsets,
         **settings.source_options(),
     )
-    start_queries(raw, settings, arrival_col="timestamp")
+    start = start_staged_queries if settings.stage_path else start_queries
+    start(raw, settings, arrival_col="timestamp")
     spark.streams.awaitAnyTermination()
 
 
