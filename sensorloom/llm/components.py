@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorloom.llm.tables import saved
@@ -16,24 +16,18 @@ def components(links: DataFrame) -> DataFrame:
     neighbours to the smallest node it knows, until nothing changes.  Every round
     is two partial minima and two joins, which adaptive execution splits where
     one node has very many links; rounds grow with the logarithm of the number
-    of nodes.  Nodes without links to others don't appear; nulls link nothing.
+    of nodes.  Whether a round changed anything is observed while it is written.
+    Nodes without links to others don't appear; nulls link nothing.
     """
-    current = saved(
-        links.filter("a <> b").select(
-            F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-        ).distinct(),
-        "links",
-    )
-    mark = None
-    while (now := _mark(current)) != mark:
-        mark = now
+    start = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    mark, (current, now) = None, _written(start.distinct())
+    while now != mark:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
             both.join(nearest, "u")
             .filter("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -45,16 +39,20 @@ def components(links: DataFrame) -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        current = saved(small, "links")
+        mark, (current, now) = now, _written(small)
     ends = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return ends.unionByName(roots)
 
 
-def _mark(pairs: DataFrame) -> tuple:
-    return tuple(
-        pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.min("u"), F.max("u")).first()
-    )
+def _written(pairs: DataFrame) -> tuple[DataFrame, dict]:
+    """The pairs as a table, and figures that tell whether two such tables are the same."""
+    seen = Observation()
+    figures = (
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("hash"),
+        F.min("u").alias("least"), F.max("u").alias("most"),
+    )
+    return saved(pairs.observe(seen, *figures), "links"), seen.get
 
 
 class Forest:

@@ -103,6 +103,51 @@ def test_a_large_cluster_without_links(spark, monkeypatch):
     assert found_in(spark, texts, words=2) == expected
 
 
+def test_a_crowd_of_thousands_just_under_the_threshold(spark):
+    """2,000 texts of one region, far beyond a block, of which a few dozen pairs do link."""
+    draw = random.Random(21)
+    base = [f"b{n}" for n in range(50)]
+    texts = []
+    for n in range(2000):
+        own = [f"own{n}-{k}" for k in range(7)]
+        if n % 60 == 7:  # half of the words of an earlier text
+            own[:4] = texts[draw.randrange(n)][1].split()[50:54]
+        texts.append((n, " ".join([*base, *own])))
+    expected = brute_force(texts, 2, 80)
+    linked = sum(doc != component for doc, (component, _) in expected.items())
+    assert 10 < linked < 100
+    assert found_in(spark, texts, words=2) == expected
+
+
+def test_overlaps():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 3000, n).astype(np.uint64)) for n in (0, 1, 500, 2500, 900, 1)]
+    found = minhash_forest.overlaps(sets)
+    assert found.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+
+
+def test_one_row_of_each_group(spark):
+    near = "the river rose by a hand in the night and nobody in the upper village had seen it come"
+    rows = [(n, "same text over and over again") for n in (5, 5, 3, None, 3, None)]
+    rows += [(9, near), (8, near + " now"), (None, near), (None, None), (None, None), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    found = minhash_forest.one_of_each_group(table).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in found) == sorted(
+        [("3", rows[0][1]), ("8", near + " now"), ("None", ""), ("None", ""), ("4", "")]
+    )
+
+
+def test_one_row_repeated_very_often(spark):
+    from pyspark.sql import functions as F
+
+    once = "a line of more than five words stands here"
+    table = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(once).alias("text"))
+    table = table.unionByName(spark.createDataFrame([(0, once + " too")], "doc_id LONG, text STRING"))
+    near = minhash_forest.near_duplicates(table, words=1)
+    assert near.where("component_id = 0").count() == 100_001
+    assert minhash_forest.one_of_each_group(table, words=1).collect() == [(0, once + " too")]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("aB \t\n\x0b\x0cé語\x85\xa0", max_size=12), max_size=6), st.integers(1, 4))
 def test_shingle_sets(texts, size):
