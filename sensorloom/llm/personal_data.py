@@ -1,9 +1,9 @@
 """Personal data: expressions propose spans, validators confirm, context adjusts the score.
 
-Only column functions are used.  The text is split at the matches of a pattern;
-the lengths of the pieces and matches give the places, in code points.  Matches
-are leftmost and don't overlap within a kind; one that its validator refuses is
-dropped, and the search goes on behind it.
+Only column functions are used (:mod:`sensorloom.llm.spans` finds the places, in
+code points).  Matches are leftmost and don't overlap within a kind; one that its
+validator refuses is dropped, and the search goes on behind it.  Context is looked
+for on both sides, by whole words, as far as the next match of the same kind.
 
 The patterns say the same as those of the contract in a form that a
 backtracking matcher runs in one pass: possessive repeats, and a beginning only
@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm.secret_scan import ASSIGN, long_value
+from sensorloom.llm.spans import joined, with_matches, with_replaced
 from sensorloom.llm.tables import boxed, unboxed
 
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -62,7 +64,7 @@ def _always(hit: Column) -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """``near`` are words that raise the score if they stand shortly before a match."""
+    """``near`` are words that raise the score if they stand close to a match."""
 
     name: str
     pattern: str
@@ -88,8 +90,10 @@ MORE = (
          r"(?![A-Za-z0-9])", "", _is_iban, 0.8, ("iban", "account", "bank", "transfer")),
     Kind("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", _always, 0.3,
          ("ssn", "social", "security", "national", "identity")),
+    Kind("secret", ASSIGN, "", long_value, 0.7, ("key", "login", "credential", "private")),
+    Kind("access_key", "AKIA[A-Z0-9]{14,}", "AKIA", _always, 0.9),
 )
-#: How far before a match its context reaches, what a word there adds, what is needed.
+#: How far from a match its context reaches, what a word there adds, what is needed.
 REACH, BONUS, ENOUGH = 40, 0.25, 0.5
 
 
@@ -99,78 +103,66 @@ def with_spans(documents: DataFrame, kinds: tuple[Kind, ...] = BASE + MORE) -> D
     ``end`` is exclusive.  A null or empty text has none.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    stages = documents.withColumns(
+    needed = {"email": "@", "secret": "[:=]", "access_key": "AKIA"}
+    found = with_matches(
+        documents,
+        text,
         {
-            f"_hits_{i}": F.when(
-                F.contains(text, F.lit(kind.hint)) & text.rlike("@" if kind.name == "email" else "[0-9]"),
-                F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
+            f"_found_{i}": (
+                kind.pattern,
+                F.contains(text, F.lit(kind.hint)) & text.rlike(needed.get(kind.name, "[0-9]")),
             )
             for i, kind in enumerate(kinds)
-        }
-    )
-    stages = stages.withColumns(
-        {
-            f"_pairs_{i}": F.when(
-                F.exists(f"_hits_{i}", kind.valid),
-                F.arrays_zip(
-                    F.slice(F.split(text, kind.pattern, -1), 1, F.size(f"_hits_{i}")).alias("gap"),
-                    F.col(f"_hits_{i}").alias("hit"),
-                ),
-            )
-            for i, kind in enumerate(kinds)
-        }
+        },
+        {f"_found_{i}": kind.valid for i, kind in enumerate(kinds)},
     )
     nothing = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>")
-    parts = [
-        F.coalesce(_placed(F.col(f"_pairs_{i}"), i, kind, nothing), nothing)
-        for i, kind in enumerate(kinds)
-    ]
-    helpers = [f"_{what}_{i}" for what in ("hits", "pairs") for i in range(len(kinds))]
-    return stages.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*helpers)
-
-
-def _placed(pairs: Column, number: int, kind: Kind, nothing: Column) -> Column:
-    words = "|".join(kind.near)
-
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        near = F.lower(F.substring(pair["gap"], -REACH, REACH)).rlike(words)
-        score = F.lit(kind.score) + F.when(near, F.lit(BONUS)).otherwise(F.lit(0.0))
-        span = F.struct(
-            start.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"),
-            F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"),
-        )
-        valid = kind.valid(pair["hit"]) & (score >= ENOUGH)
+    parts = [F.coalesce(_scored(F.col(f"_found_{i}"), i, kind), nothing) for i, kind in enumerate(kinds)]
+    helpers = [f"_found_{i}" for i in range(len(kinds))]
+    return found.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*helpers)
+
+
+def _scored(matches: Column, number: int, kind: Kind) -> Column:
+    words = rf"(?<![a-z0-9])(?:{'|'.join(kind.near)})s?(?![a-z0-9])"
+
+    def score(match: Column) -> Column:
+        before = F.lower(F.substring(match["gap"], -REACH, REACH))
+        after = F.lower(F.substring(match["next"], 1, REACH))
+        near = before.rlike(words) | after.rlike(words) if kind.near else F.lit(False)
+        raised = F.lit(kind.score) + F.when(near, F.lit(BONUS)).otherwise(F.lit(0.0))
+        return F.least(raised, F.lit(1.0))
+
+    def span(match: Column) -> Column:
         return F.struct(
-            end.alias("at"),
-            F.when(valid, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"),
-        )
+            match["start"].alias("start"), F.lit(number).alias("kind_no"), match["end"].alias("end"),
+            F.lit(kind.name).alias("kind"), score(match).alias("score"),
+        )
 
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
-    return F.aggregate(pairs, start, add, lambda state: state["out"])
+    valid = F.filter(matches, lambda m: kind.valid(m["hit"]))
+    return F.filter(F.transform(valid, span), lambda s: s["score"] >= ENOUGH)
 
 
 def report(documents: DataFrame) -> DataFrame:
     """Counts, a digest of the contract's spans and all spans of each row of (doc_id, text).
 
+    ``highest_score`` is that of the surest span, null without any.
+
     Rows are independent: repeated ones have equal results, a null doc_id stays
     null, a null or empty text has no spans, an empty table gives no rows.
     """
     found = with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     base = F.filter("_spans", lambda s: s["kind_no"] < len(BASE))
 
-    def line(spans: Column) -> Column:
-        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
     def count(i: int) -> Column:
         return F.size(F.filter("_spans", lambda s: s["kind_no"] == i)).cast("long")
 
     return found.select(
         "doc_id",
         *[count(i).alias(f"n_{kind.name}") for i, kind in enumerate(BASE)],
-        F.sha2(line(base).cast("binary"), 256).alias("base_sha256"),
-        line(F.col("_spans")).alias("spans"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("_spans")).alias("spans"),
+        F.size("_spans").cast("long").alias("n_spans"),
+        F.array_max(F.transform("_spans", lambda s: s["score"])).alias("highest_score"),
     )
 
 
@@ -180,21 +172,5 @@ def redacted(documents: DataFrame) -> DataFrame:
     Spans that overlap are replaced together, under the kind of the first.  A
     text without spans stays as it is, null too.
     """
-    found = with_spans(boxed(documents, "text"))
-
-    def add(state: Column, span: Column) -> Column:
-        apart = span["start"] >= state["at"]
-        gap = F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"])
-        tag = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(apart, F.concat(state["out"], F.array(gap, tag))).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = F.aggregate(
-        "_spans", start, add,
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), s["at"] + 1, 2**31 - 1)),
-    )
-    text = F.when(F.size("_spans") > 0, rest).otherwise(F.col("text"))
-    return unboxed(found, documents.columns, text=text)
+    found = with_replaced(with_spans(boxed(documents, "text")), "text", "_spans", "_text")
+    return unboxed(found, documents.columns, text=F.col("_text"))

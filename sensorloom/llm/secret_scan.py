@@ -56,17 +56,17 @@ def _either_case(words: tuple[str, ...]) -> str:
 
 
 _KEYWORDS = _either_case(("password", "passwd", "secret", "token", "api_?key"))
-_ASSIGN = rf"""(?:{_KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = rf"""(?:{_KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 
-def _long_value(hit: Column) -> Column:
-    return F.length(F.regexp_extract(hit, f"^{_ASSIGN}", 1)) >= 12
+def long_value(hit: Column) -> Column:
+    return F.length(F.regexp_extract(hit, f"^{ASSIGN}", 1)) >= 12
 
 
 #: The kinds of the contract, in its order.  The runs of access and hex need no
 #: dropping: a shorter one has no longer match inside.
 BASE = (
-    Rule("assign", _ASSIGN, valid=_long_value),
+    Rule("assign", ASSIGN, valid=long_value),
     Rule("access", "AKIA[A-Z0-9]{14,}"),
     Rule("hex", "[0-9a-f]{16,}"),
 )

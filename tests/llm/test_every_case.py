@@ -4,6 +4,7 @@ import collections
 
 import public_tokenizers
 import pytest
+from conftest import PROSE
 from pyspark.sql import functions as F
 
 from sensorloom.llm import (
@@ -79,8 +80,8 @@ def test_results_of_awkward_rows(awkward):
     assert found[-11].spans == "email:5:27,phone:36:53"
     assert {r.lang_pred for r in PER_ROW["language"](awkward.filter("doc_id IN (2, 3, 4, 7)")).collect()} == {"und"}
     cleaned = {r.doc_id: r for r in repeated_units.cleaned(awkward).collect()}
-    assert cleaned[0].text and cleaned[1].text == "" and cleaned[None].text is not None or True
-    assert cleaned[2].text is None
+    assert cleaned[0].text == PROSE and cleaned[2].text is None
+    assert rows_of(repeated_units.cleaned(awkward)).total() == awkward.count()
 
 
 def test_nothing_to_learn_from(awkward, no_documents):
