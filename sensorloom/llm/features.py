@@ -61,18 +61,28 @@ def word_counts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.stack([total, distinct, repeats], axis=1)
 
 
-def sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` rows of each label, the first by a hash of the doc_id.
-
-    Labels with more rows are thinned by that hash to about one and a half times
-    the bound first, within each task, so that no task ranks all rows of a label.
+def sample(rows: DataFrame, label: str, per_label: int, in_all: int | None = None) -> DataFrame:
+    """At most ``per_label`` documents of each label, the first by a hash of the doc_id.
+
+    ``in_all`` bounds all labels together: each then gets an equal share at most, and
+    one document at least.  A document that is repeated counts once.  Labels with more
+    documents are thinned by the hash to about one and a half times the bound first,
+    within each task, so that no task ranks all documents of a label; how many there
+    are is estimated for that, without gathering ids.
     """
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
-    limit = F.greatest(1.5 * per_label / F.col("_count"), F.lit(100) / F.col("_count")) * 1_000_000
+    order = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+    counts = rows.groupBy(label).agg(F.approx_count_distinct("doc_id").alias("_count"))
+    if in_all is not None:
+        per_label = max(1, min(per_label, in_all // max(counts.count(), 1)))
+    limit = F.greatest(F.lit(1.5 * per_label), F.lit(100.0)) / F.col("_count") * 2.0**53
     thinned = rows.select("doc_id", label).join(F.broadcast(counts), label).filter(order <= limit)
-    # About one and a half times the bound for each label, whatever the number of rows.
-    ranked = thinned.withColumn(
+    ranked = thinned.select("doc_id", label).distinct().withColumn(
         "_rank", F.row_number().over(Window.partitionBy(label).orderBy(order, "doc_id"))
     )
     return ranked.filter(F.col("_rank") <= per_label).select("doc_id", label)
+
+
+def one_text_each(texts: DataFrame, chosen: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label, text) of the chosen documents; of several rows of one, the least text."""
+    own = texts.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return own.groupBy("doc_id", label).agg(F.min("text").alias("text"))

@@ -4,7 +4,7 @@ A linear classifier tells the language family first.  Within each family, one
 linear support vector machine for each pair of languages tells them apart by
 majority, ties by the sum of margins.  Features are hashed byte trigrams of the
 lower-cased text; models are fitted on the driver to at most ``PER_LANGUAGE``
-documents of each language.
+documents of each language, and to ``IN_ALL`` of all together.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import features
 
-PER_LANGUAGE = 1000
+PER_LANGUAGE, IN_ALL = 1000, 8000
 SLOTS = 8192
 UNKNOWN = "und"
 #: Families of common languages; any other is a family of its own.
@@ -121,30 +121,45 @@ def remainder(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Languages | None:
-    """Fit to a sample of (doc_id, text, lang) that is not held out; None if there is none."""
+def train(
+    documents: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL
+) -> Languages | None:
+    """Fit to a sample of (doc_id, text, lang) that is not held out; None if there is none.
+
+    A repeated document counts once; of several texts of one the least is learnt from.
+    The driver gets the trigrams that a document has, for ``in_all`` documents at most.
+    """
     known = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id")) != 2)
     )
-    chosen = features.sample(known, "lang", per_language)
-    texts = known.join(F.broadcast(chosen.select("doc_id", F.col("lang").alias("_lang"))), "doc_id")
-    texts = texts.filter(F.col("lang") == F.col("_lang")).select("doc_id", "lang", "text")
+    chosen = features.sample(known, "lang", per_language, in_all)
+    own = known.join(F.broadcast(chosen), ["doc_id", "lang"])
+    texts = own.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [text or "" for text in batch.column("text").to_pylist()]
-            found = [r.astype(np.float16).tobytes() for rows in feature_rows(own) for r in rows]
+            held = [text or "" for text in batch.column("text").to_pylist()]
+            slots, weights = [], []
+            for rows in feature_rows(held):
+                for row in rows:
+                    at = np.flatnonzero(row)
+                    slots.append(at.astype(np.uint16).tobytes())
+                    weights.append(row[at].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(found, pa.binary())],
-                names=["doc_id", "lang", "row"],
-            )
+                [batch.column("doc_id"), batch.column("lang"), pa.array(slots, pa.binary()),
+                 pa.array(weights, pa.binary())],
+                names=["doc_id", "lang", "slots", "weights"],
+            )
 
-    got = texts.mapInArrow(run, "doc_id long, lang string, row binary").toArrow()
+    schema = "doc_id long, lang string, slots binary, weights binary"
+    got = texts.mapInArrow(run, schema).toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     if not got.num_rows:
         return None
-    rows = np.frombuffer(b"".join(got.column("row").to_pylist()), np.float16)
-    return fit(rows.reshape(got.num_rows, -1).astype(np.float32), got.column("lang").to_pylist())
+    rows = np.zeros((got.num_rows, SLOTS), np.float32)
+    for row, slots, weights in zip(rows, *(got.column(c).to_pylist() for c in ("slots", "weights")), strict=True):
+        row[np.frombuffer(slots, np.uint16)] = np.frombuffer(weights, np.float16)
+    return fit(rows, got.column("lang").to_pylist())
 
 
 def predicted(documents: DataFrame, model: Languages | None) -> DataFrame:

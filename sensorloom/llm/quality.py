@@ -174,11 +174,12 @@ def grades(labels: DataFrame) -> DataFrame:
 def train(documents: DataFrame, rated: DataFrame, per_grade: int = PER_GRADE) -> Ordinal | None:
     """Fit to a sample of rated documents; None if no document is rated.
 
-    Rated ids without a document, and documents without words, teach nothing.
+    Rated ids without a document, and documents without words, teach nothing.  A
+    repeated document counts once; of several texts of one the least is learnt from.
     """
     chosen = features.sample(rated, "grade", per_grade)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = texts.filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    known = features.one_text_each(texts.filter("text IS NOT NULL"), chosen, "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

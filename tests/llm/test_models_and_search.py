@@ -147,4 +147,4 @@ def test_pipeline_stage_by_stage(spark):
 
 
 def test_queries_are_named_by_number():
-    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 14)]
