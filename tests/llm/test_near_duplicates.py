@@ -119,9 +119,12 @@ def test_a_crowd_of_thousands_just_under_the_threshold(spark):
     assert found_in(spark, texts, words=2) == expected
 
 
-def test_overlaps():
+@pytest.mark.parametrize("held", [1 << 18, 100])
+def test_overlaps(monkeypatch, held):
+    monkeypatch.setattr(minhash_forest, "SLICE", held)
     draw = np.random.default_rng(2)
-    sets = [np.unique(draw.integers(0, 3000, n).astype(np.uint64)) for n in (0, 1, 500, 2500, 900, 1)]
+    every = draw.integers(0, 2**64, 3000, dtype=np.uint64)
+    sets = [np.unique(draw.choice(every, n)) for n in (0, 1, 500, 2500, 900, 1)]
     found = minhash_forest.overlaps(sets)
     assert found.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
 
