@@ -27,11 +27,11 @@ from sensorloom.sources.streams import literal_messages
 
 GOOD = {
     "device_id": "dev-0000abcd",
-    "timestamp": "2026-07-29T10:00:00.000Z",
+    "timestamp": "2031-03-05T10:00:00.000Z",
     "metric_type": "temperature",
     "value": 21.5,
 }
-START = datetime(2026, 7, 29, 10)
+START = datetime(2031, 3, 5, 10)
 
 
 def body(drop=(), **changes):
@@ -43,14 +43,14 @@ AUDIT = [
     (body(site_id="s", firmware_version="1"), []),
     (body(value=21), []),
     (body(value=1e300), []),
-    (body(timestamp="2026-07-29T10:00:00+05:30"), []),
+    (body(timestamp="2031-03-05T10:00:00+05:30"), []),
     (body(device_id="DEV-0000abcd"), ["pattern:device_id"]),
     (body(device_id=None), ["type:device_id"]),
     (body(device_id=7), ["type:device_id"]),
     (body(drop=["device_id", "value"]), ["missing:device_id", "missing:value"]),
     (body(value="21.5"), ["type:value"]),
     (body(value=True), ["type:value"]),
-    (body(timestamp="2026-07-29 10:00:00Z"), ["format:timestamp"]),
+    (body(timestamp="2031-03-05 10:00:00Z"), ["format:timestamp"]),
     (body(timestamp="2026-02-30T10:00:00Z"), ["format:timestamp"]),
     (body(metric_type="TEMPERATURE"), ["enum:metric_type"]),
     (body(site_id=1), ["type:site_id"]),

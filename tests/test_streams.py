@@ -50,7 +50,7 @@ class Feed:
             json.dumps(
                 {
                     "device_id": device,
-                    "event_time": f"2026-07-29T{at}",
+                    "event_time": f"2031-03-05T{at}",
                     "metric_type": "temperature",
                     "value": float(value),
                     "site_id": "site-01",
@@ -90,7 +90,7 @@ def test_watermark_over_restarts(streams, tmp_path):
     # late by two minutes, within the delay: counted
     assert seen(feed.step((DEVICE, "06:27:45", 1))) == []
     assert seen(feed.step((DEVICE, "06:41:00", 70))) == [morning]
-    assert feed.last("watermark")[-1] == "2026-07-29T06:38:00.000Z"
+    assert feed.last("watermark")[-1] == "2031-03-05T06:38:00.000Z"
     # its window is closed: dropped, nothing changes
     assert seen(feed.step((DEVICE, "06:22:00", 60), (DEVICE, "06:22:05", 61))) == [morning]
     assert sum(feed.last("dropped_rows")) == 1
@@ -143,7 +143,7 @@ def test_far_future_reading_closes_nothing(streams, spark, tmp_path):
     schema = "key STRING, value STRING, timestamp TIMESTAMP"
 
     def publish(*sent):
-        rows = [(DEVICE, message(at), datetime(2026, 7, 29, *came)) for at, came in sent]
+        rows = [(DEVICE, message(at), datetime(2031, 3, 5, *came)) for at, came in sent]
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(topic)
         raw = envelope_stream(streams, topic, schema)
         for query in start_queries(raw, settings, until_done=True, arrival_col="timestamp"):
@@ -216,7 +216,7 @@ def test_replay_agrees_with_the_stream(spark, streams, tmp_path):
     for n, times in enumerate(steps):
         feed.step(*[(DEVICE, at, 1) for at in times])
         dropped.append(sum(feed.last("dropped_rows")))
-        rows += [(n, f"2026-07-29T{at}") for at in times]
+        rows += [(n, f"2031-03-05T{at}") for at in times]
     table = spark.createDataFrame(rows, "n INT, at STRING").select(
         "n", F.to_timestamp("at").alias("event_time"),
         F.timestamp_seconds(F.col("n") * 30).alias("arrival_time"),
@@ -234,7 +234,7 @@ def test_replay_agrees_with_the_stream(spark, streams, tmp_path):
 
 
 def message(at, device=DEVICE, value=50.0):
-    stamp = f"2026-07-29T{at}Z"
+    stamp = f"2031-03-05T{at}Z"
     return json.dumps(
         {"device_id": device, "timestamp": stamp, "metric_type": "battery", "value": value}
     )
@@ -270,8 +270,8 @@ def test_two_query_job(spark, streams, tmp_path):
 
 def test_layout_by_date(spark, streams, tmp_path):
     feed_folder = tmp_path / "topic"
-    days = [message("10:00:10"), message("10:00:10").replace("07-29", "07-30"),
-            message("10:00:10").replace("07-29", "07-31")]
+    days = [message("10:00:10"), message("10:00:10").replace("03-05", "03-06"),
+            message("10:00:10").replace("03-05", "03-07")]
     spark.createDataFrame([("k", t) for t in days], "key STRING, value STRING").write.parquet(
         str(feed_folder)
     )
@@ -285,7 +285,7 @@ def test_layout_by_date(spark, streams, tmp_path):
     assert len(list((tmp_path / "a").glob("date=*/*.parquet"))) == 2
     table = read_results(spark, str(tmp_path / "a"))
     assert table.count() == 2
-    one_day = table.where("date = DATE'2026-07-30'")
+    one_day = table.where("date = DATE'2031-03-06'")
     assert one_day.count() == 1
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().toString()
 
@@ -323,14 +323,14 @@ def test_stream_equals_table(spark, streams, tmp_path):
         aggregates(envelope_stream(streams, folder)), str(tmp_path / "o"), str(tmp_path / "c"), None
     )
     query.awaitTermination()
-    closed = aggregates(table).where("window_end <= TIMESTAMP'2026-07-29 10:27:59'")
+    closed = aggregates(table).where("window_end <= TIMESTAMP'2031-03-05 10:27:59'")
     got = read_results(spark, str(tmp_path / "o"))
     assert got.count() == 15
     assert got.exceptAll(closed).count() == closed.exceptAll(got).count() == 0
 
 
 def test_upserts_are_idempotent(spark, tmp_path):
-    start = datetime(2026, 7, 29, 10)
+    start = datetime(2031, 3, 5, 10)
 
     def changes(*rows):
         full = [
