@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.contract import VALID_COLUMNS, VALID_SCHEMA
-from sensorloom.functions.durations import interval
 from sensorloom.sources.streams import path_exists, read_results
 from sensorloom.streaming.staged import STAGED_SCHEMA, VALID
 
