@@ -1,12 +1,13 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
-The index turns each vector, less the mean of all, by one random rotation and
-keeps the signs as packed bits, its length, and the correction ``<o, code>``.
-A query's inner product with ``o`` is estimated as ``<q, code> / <o, code>``;
-the error stays within ``BOUND`` standard deviations of
-``sqrt(1 / <o, code>**2 - 1) / sqrt(dimensions - 1)``.  Only vectors whose lower
-bound of the distance does not exceed the tenth best distance so far are
-reranked with the original vectors.
+The index turns each vector, less the mean of all, by ``ROTATIONS`` random
+rotations and keeps of each the signs as packed bits and the correction
+``<o, code>``, and the vector's length.  A query's inner product with ``o`` is
+estimated as the mean of ``<q, code> / <o, code>``; the error stays within
+``BOUND`` standard deviations, of which a single rotation has
+``sqrt(1 / <o, code>**2 - 1) / sqrt(dimensions - 1)``.  Vectors are reranked with
+the originals in the order of the lower bounds of their distances, until that
+bound exceeds the tenth best distance so far.
 
 Queries are compared with all rows in tiles: a block of ``QUERIES`` queries and
 a block of ``ROWS`` rows.  Each tile returns its nearest few per query, and the
@@ -27,49 +28,65 @@ from pyspark.sql import functions as F
 from sensorloom.llm.tables import saved
 from sensorloom.llm.vectors import matrix, usable
 
-ROWS, QUERIES = 4096, 1024
+ROWS, QUERIES = 2048, 8192
 BOUND = 3.0
+ROTATIONS = 4
 SEED = 11
+RERANKED_AT_ONCE = 32
 
-_INDEX = "vec_id long, embedding {kind}, code binary, length double, correction double"
+_INDEX = "vec_id long, embedding {kind}, code binary, length double, corrections array<double>"
 _FOUND = "query_id long, vec_id long, score double"
 
 
-def rotation(dimensions: int) -> np.ndarray:
-    draw = np.random.default_rng([SEED, dimensions]).standard_normal((dimensions, dimensions))
-    turned, upper = np.linalg.qr(draw)
-    return turned * np.sign(np.diag(upper))
+def rotations(dimensions: int) -> np.ndarray:
+    """``ROTATIONS`` random rotations, always the same ones, one after the other."""
+    draws = np.random.default_rng([SEED, dimensions]).standard_normal(
+        (ROTATIONS, dimensions, dimensions)
+    )
+    return np.stack([q * np.sign(np.diag(r)) for q, r in map(np.linalg.qr, draws)])
 
 
 def encode(rows: np.ndarray, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed signs, lengths and corrections of the rows less the mean."""
-    turned = (rows - mean) @ rotation(rows.shape[1])
-    lengths = np.sqrt(np.einsum("ij,ij->i", turned, turned))
-    sums = np.abs(turned).sum(axis=1) / math.sqrt(rows.shape[1])
-    corrections = np.divide(sums, lengths, out=np.ones(len(rows)), where=lengths > 0)
-    return np.packbits(turned >= 0, axis=1), lengths, corrections
-
-
-def bounds(
-    queries: np.ndarray, codes: np.ndarray, lengths: np.ndarray, corrections: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated squared distances, queries by rows, and how much less they may be.
-
-    The queries are given less the mean, as the codes are.
-    """
-    dimensions = queries.shape[1]
-    turned = queries @ rotation(dimensions)
-    signs = np.unpackbits(codes, axis=1, count=dimensions).astype(np.float64) * 2 - 1
-    norms = np.sqrt(np.einsum("ij,ij->i", turned, turned))[:, None]
-    inner = turned @ signs.T / math.sqrt(dimensions) / corrections * lengths
-    spread = np.sqrt(np.maximum(1 / corrections**2 - 1, 0)) / math.sqrt(max(dimensions - 1, 1))
-    return norms**2 + lengths**2 - 2 * inner, 2 * BOUND * norms * lengths * spread
+    """Packed signs, lengths and corrections (a column per rotation) of the rows less the mean."""
+    centred = rows - mean
+    lengths = np.sqrt(np.einsum("ij,ij->i", centred, centred))
+    codes, corrections = [], []
+    for turn in rotations(rows.shape[1]):
+        turned = centred @ turn
+        sums = np.abs(turned).sum(axis=1) / math.sqrt(rows.shape[1])
+        corrections.append(np.divide(sums, lengths, out=np.ones(len(rows)), where=lengths > 0))
+        codes.append(np.packbits(turned >= 0, axis=1))
+    return np.concatenate(codes, axis=1), lengths, np.stack(corrections, axis=1)
+
+
+class Codes:
+    """The codes of a block of rows, ready to be compared with queries."""
+
+    def __init__(self, codes: np.ndarray, lengths: np.ndarray, corrections: np.ndarray, dimensions: int):
+        self.lengths, self.turns = lengths, rotations(dimensions)
+        signs = np.unpackbits(codes.reshape(len(codes), ROTATIONS, -1), axis=2, count=dimensions)
+        scale = math.sqrt(dimensions) * ROTATIONS * corrections[:, :, None]
+        self.signs = ((signs.astype(np.float64) * 2 - 1) / scale).reshape(len(codes), -1)
+        variance = np.maximum(1 / corrections**2 - 1, 0).sum(axis=1) / max(dimensions - 1, 1)
+        self.spread = np.sqrt(variance) / ROTATIONS
+
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated squared distances, queries by rows, and how much less they may be.
+
+        The queries are given less the mean, as the codes are.
+        """
+        turned = np.concatenate([queries @ turn for turn in self.turns], axis=1)
+        norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))[:, None]
+        inner = turned @ self.signs.T * self.lengths
+        slack = 2 * BOUND * norms * self.lengths * self.spread
+        return norms**2 + self.lengths**2 - 2 * inner, slack
 
 
 def _usable_rows(embeddings: DataFrame) -> DataFrame:
-    return embeddings.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding")
-    ).filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    """One vector for each vec_id; copies meet within tasks first."""
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
+    fit = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    return fit.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def _means(rows: DataFrame) -> DataFrame:
@@ -100,9 +117,9 @@ def build_index(rows: DataFrame, means: DataFrame) -> DataFrame:
                         part.column("embedding"),
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(norms),
-                        pa.array(corrections),
+                        pa.array(list(corrections), pa.list_(pa.float64())),
                     ],
-                    names=["vec_id", "embedding", "code", "length", "correction"],
+                    names=["vec_id", "embedding", "code", "length", "corrections"],
                 )
 
     with_mean = rows.withColumn("size", F.size("embedding")).join(means, "size")
@@ -117,8 +134,9 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     Nearness is the Euclidean distance in double precision; ties go to the
     smaller vec_id.  Null, empty and zero vectors, such with null or non-finite
     components and rows without vec_id take no part, and vectors of different
-    length don't meet.  Rows of the query's own vec_id are left out.  A query
-    with fewer than k others gets them all; an empty table gives no rows.
+    length don't meet.  Repeated rows count once, and of different vectors under
+    one vec_id the least counts, as arrays are ordered.  A query with fewer than k
+    others gets them all; an empty table gives no rows.
     """
     rows = _usable_rows(embeddings)
     means = saved(_means(rows), "vector_means")
@@ -132,7 +150,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         F.pmod(F.xxhash64("vec_id"), "cells").cast("int").alias("cell"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), "sets").cast("int").alias("set"),
     )
-    columns = ["size", "vec_id", "embedding", "code", "length", "correction"]
+    columns = ["size", "vec_id", "embedding", "code", "length", "corrections"]
     every = [F.explode(F.sequence(F.lit(0), F.col(n) - 1)) for n in ("sets", "cells")]
     others = spread.select(
         *columns, F.lit(None).cast("array<double>").alias("mean"), "cell", every[0].alias("set")
@@ -145,7 +163,10 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         asked = tile.column("mean").is_valid()
         return _nearest_in(tile.filter(asked), tile.filter(pc.invert(asked)), k)
 
-    near = others.unionByName(queries).groupBy("size", "cell", "set").applyInArrow(run, _FOUND)
+    # Few bytes make much work here, so small partitions must not be joined.
+    tasks = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = others.unionByName(queries).repartition(tasks, "size", "cell", "set")
+    near = tiles.groupBy("size", "cell", "set").applyInArrow(run, _FOUND)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
@@ -165,21 +186,16 @@ def _nearest_in(asked: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     if asked.num_rows and rows.num_rows:
         queries, vectors = matrix(asked.column("embedding")), matrix(rows.column("embedding"))
         query_ids, ids = (t.column("vec_id").to_numpy() for t in (asked, rows))
-        codes = np.stack([np.frombuffer(c, np.uint8) for c in rows.column("code").to_pylist()])
-        lengths, corrections = (rows.column(n).to_numpy() for n in ("length", "correction"))
+        packed = np.stack([np.frombuffer(c, np.uint8) for c in rows.column("code").to_pylist()])
+        lengths, corrections = rows.column("length").to_numpy(), matrix(rows.column("corrections"))
+        codes = Codes(packed, lengths, corrections, vectors.shape[1])
         mean = np.array(asked.column("mean")[0].as_py())
         for at in range(0, len(queries), 64):
             part = queries[at : at + 64]
-            own = query_ids[at : at + 64, None] == ids[None]
-            estimate, slack = bounds(part - mean, codes, lengths, corrections)
-            estimate[own] = np.inf
-            first = np.argpartition(estimate, min(k, len(ids)) - 1, axis=1)[:, :k]
-            gaps = vectors[first] - part[:, None]
-            exact = np.einsum("ijk,ijk->ij", gaps, gaps)
-            exact[np.take_along_axis(own, first, axis=1)] = np.inf
-            # The sum of squares in another order may differ in the last digits.
-            least = exact.max(axis=1, keepdims=True) * (1 + 1e-9) if first.shape[1] >= k else np.inf
-            q, v = np.nonzero((estimate - slack <= least) & ~own)
+            estimate, slack = codes.bounds(part - mean)
+            least = estimate - slack
+            least[query_ids[at : at + 64, None] == ids[None]] = np.inf
+            q, v = reranked(part, vectors, least, k)
             scores = distances(vectors[v], part[q])
             order = np.lexsort((ids[v], scores, q))
             q, v, scores = q[order], v[order], scores[order]
@@ -194,6 +210,38 @@ def _nearest_in(asked: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     )
 
 
+def reranked(
+    queries: np.ndarray, vectors: np.ndarray, least: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) that may be among the k nearest, by the originals.
+
+    ``least`` has the lower bounds of the squared distances, infinite for pairs
+    that don't count.  Rows are taken in this order, some for every query at once;
+    a query is done when its next bound exceeds its k-th smallest distance.
+    """
+    order = np.argsort(least, axis=1, kind="stable")
+    best = np.full((len(queries), k), np.inf)
+    going, pairs = np.arange(len(queries)), []
+    for at in range(0, vectors.shape[0], RERANKED_AT_ONCE):
+        next_ones = order[going, at : at + RERANKED_AT_ONCE]
+        bound = np.take_along_axis(least[going], next_ones, axis=1)
+        # The sum of squares in another order may differ in the last digits.
+        worst = best[going].max(axis=1) * (1 + 1e-9)
+        wanted = np.isfinite(bound) & (bound <= worst[:, None])
+        going, next_ones, wanted = (x[wanted.any(axis=1)] for x in (going, next_ones, wanted))
+        if not len(going):
+            break
+        gaps = vectors[next_ones] - queries[going, None]
+        exact = np.where(wanted, np.einsum("ijk,ijk->ij", gaps, gaps), np.inf)
+        both = np.concatenate([best[going], exact], axis=1)
+        best[going] = np.partition(both, k - 1, axis=1)[:, :k]
+        chosen = np.nonzero(wanted)
+        pairs.append((going[chosen[0]], next_ones[chosen]))
+    if not pairs:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([q for q, _ in pairs]), np.concatenate([v for _, v in pairs])
+
+
 def nearest_sql(every: int, k: int = 10) -> str:
     """The same search as DuckDB SQL over ``embeddings``, by comparing all pairs."""
     return f"""

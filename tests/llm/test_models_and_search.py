@@ -45,12 +45,29 @@ def test_search_against_brute_force(spark, monkeypatch, count, cells):
 def test_estimates_keep_their_bounds():
     draw = np.random.default_rng(1)
     rows, queries_ = draw.standard_normal((500, 64)), draw.standard_normal((20, 64))
-    estimate, slack = one_bit.bounds(queries_, *one_bit.encode(rows, np.zeros(64)))
+    estimate, slack = one_bit.Codes(*one_bit.encode(rows, np.zeros(64)), 64).bounds(queries_)
     exact = ((queries_[:, None] - rows[None]) ** 2).sum(axis=2)
     assert (np.abs(estimate - exact) <= slack).mean() > 0.99
     assert np.corrcoef(estimate.ravel(), exact.ravel())[0, 1] > 0.85
 
 
+@needs_data
+def test_share_that_is_reranked(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    vectors = np.stack(table.embedding).astype(float)
+    mean, asked = vectors.mean(axis=0), np.flatnonzero(table.vec_id % 100 == 0)
+    codes = one_bit.Codes(*one_bit.encode(vectors, mean), vectors.shape[1])
+    estimate, slack = codes.bounds(vectors[asked] - mean)
+    least = estimate - slack
+    least[np.arange(len(asked)), asked] = np.inf
+    q, v = one_bit.reranked(vectors[asked], vectors, least, 10)
+    assert len(q) / least.size < 0.2
+    for n, query in enumerate(asked):
+        gaps = ((vectors - vectors[query]) ** 2).sum(axis=1)
+        gaps[query] = np.inf
+        assert set(np.argsort(gaps)[:10]) <= set(v[q == n])
+
+
 @needs_data
 def test_whole_table_searches(spark):
     table = spark.read.parquet(f"{LARGER}/embeddings.parquet").toPandas()
