@@ -2,8 +2,8 @@
 
 Rows get their number in a fixed order: by the first three hex digits of the
 MD5 of (doc_id, checksum, size), then by these columns.  So there are 4,096
-buckets of about equal size, the window that numbers a bucket's rows sees a
-4,096th of them, and only bucket counts are gathered to turn places within
+buckets, the window that numbers a bucket's distinct rows sees about a 4,096th
+of them, and only bucket counts are gathered to turn places within
 buckets into global numbers.  The number is permuted, and
 
     shard = permuted % shards,    slot = permuted // shards
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.tables import saved
+from sensorloom.llm.tables import copies, saved
 
 #: Keys of the rounds, two for each double round.
 ROUND_KEYS = ((915_374_021, 370_248_451), (1_503_267_887, 88_172_645), (643_180_247, 1_271_349_083))
@@ -75,7 +75,11 @@ def permuted(number: Column, rows: Column, seed: int = 0, backwards: bool = Fals
 
 
 def numbered(documents: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, row_number, n_rows) of each row of (doc_id, text)."""
+    """(doc_id, size, text_crc32, row_number, n_rows) of each row of (doc_id, text).
+
+    Rows that agree in these columns are one row with a count until they have their
+    numbers, so the windows see no row twice.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -84,22 +88,24 @@ def numbered(documents: DataFrame) -> DataFrame:
     )
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("doc_id", "text_crc32", "size")]
     digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
-    rows = saved(rows.withColumn("bucket", F.substring(digest, 1, 3)), "shard_rows")
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    groups = saved(counted.withColumn("bucket", F.substring(digest, 1, 3)), "shard_rows")
     every = Window.orderBy("bucket")
-    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = groups.groupBy("bucket").agg(F.sum("n").alias("rows"))
     # 4,096 rows at most, of a few bytes.
     offsets = counts.select(
         "bucket",
-        (F.sum("n").over(every) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy()).alias("n_rows"),
+        (F.sum("rows").over(every) - F.col("rows")).alias("before"),
+        F.sum("rows").over(Window.partitionBy()).alias("n_rows"),
     )
     order = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size")
-    return (
-        rows.withColumn("place", F.row_number().over(order))
+    return copies(
+        groups.withColumn("first", F.sum("n").over(order) - F.col("n"))
         .join(F.broadcast(offsets), "bucket")
-        .select("doc_id", "size", "text_crc32",
-                (F.col("before") + F.col("place") - 1).alias("row_number"), "n_rows")
-    )
+        .select("doc_id", "size", "text_crc32", "n",
+                (F.col("before") + F.col("first")).alias("first"), "n_rows"),
+        "n",
+    ).select("doc_id", "size", "text_crc32", (F.col("first") + F.col("copy")).alias("row_number"), "n_rows")
 
 
 def sharded(documents: DataFrame, shards: int, seed: int = 0) -> DataFrame:

@@ -10,7 +10,7 @@
    into blocks of equal length.  A quota of ``q`` of ``n`` blocks takes all
    ``q // n`` times, and ``q % n`` once more, from a seeded block onwards.
 
-Only column functions are used.  Windows span a shard's documents, a few
+Only column functions are used.  Windows span a shard's distinct rows, a few
 thousand shards, or the sources; the number of sources is taken to fit one task
 (it is the number of distinct names, not of rows).
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.tables import boxed, saved, unboxed
+from sensorloom.llm.tables import boxed, copies, saved, unboxed
 
 SHARD_WORDS = 1 << 18
 BLOCK_WORDS = 32
@@ -131,8 +131,11 @@ def plan(
     and may be exchanged; an empty table gives no rows.  Equal input gives equal
     results, however it is partitioned.
     """
-    sized = saved(sizes(documents, seed), "mix_sizes")
-    by_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), most, weights)
+    # Rows that agree in these columns are one row with a count until the last step.
+    same = sizes(documents, seed).groupBy("doc_id", "source", "size", "digest")
+    sized = saved(same.agg(F.count(F.lit(1)).alias("rows")), "mix_sizes")
+    words = F.sum(F.col("size") * F.col("rows"))
+    by_source = targets(sized.groupBy("source").agg(words.alias("source_size")), most, weights)
     sources = saved(
         by_source.withColumn(
             "shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
@@ -140,16 +143,20 @@ def plan(
         "mix_sources",
     )
     placed = _joined(sized, sources, ["source"]).select(
-        "doc_id", "source", "size", "digest", "source_size", "target",
+        "doc_id", "source", "size", "digest", "source_size", "target", "rows",
         F.pmod(_number(F.col("digest")), F.col("shards")).alias("shard"),
     )
     shards = _quotas(placed, sources, most, seed, block_words)
     order = Window.partitionBy("source", "shard").orderBy("digest", "doc_id", "size")
-    ends = placed.withColumn(
-        "end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.col("size") * F.col("rows")
+    # Rows without words take no place, so they stay out of the windows.
+    starts = placed.filter("size > 0").withColumn(
+        "start", F.sum(before).over(order.rowsBetween(Window.unboundedPreceding, 0)) - before
     )
-    found = _joined(ends, shards, ["source", "shard"], "left")
-    begin = F.col("end") - F.col("size")
+    empty = placed.filter("size = 0").withColumn("start", F.lit(0).cast("long"))
+    every = copies(starts.unionByName(empty), "rows")
+    found = _joined(every, shards, ["source", "shard"], "left")
+    begin = F.col("start") + F.col("copy") * F.col("size")
 
     def within(edge: str) -> Column:
         inside = F.least(F.greatest(F.col(edge) - begin, F.lit(0)), F.col("size"))
@@ -172,7 +179,7 @@ def _quotas(placed: DataFrame, sources: DataFrame, most: int, seed: int, block_w
     shards = saved(
         placed.filter("size > 0")
         .groupBy("source", "shard")
-        .agg(F.sum("size").alias("words"))
+        .agg(F.sum(F.col("size") * F.col("rows")).alias("words"))
         .withColumn("blocks", F.greatest(F.round(F.col("words") / block_words), F.lit(1)).cast("long"))
         .withColumn("family", F.floor(F.col("shard") / FAN_OUT).cast("long")),
         "mix_shards",

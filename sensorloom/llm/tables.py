@@ -18,6 +18,32 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Copies of a row that one task makes in a row of its own.
+COPIES_AT_ONCE = 1 << 16
+
+
+def copies(frame: DataFrame, count: str) -> DataFrame:
+    """Each row as often as ``count`` says, with ``copy`` counting from 0 instead of it.
+
+    A row of very many copies is made into pieces that several tasks share; the
+    frame is written and read again, since both kinds of row are taken from it.
+    """
+    frame = saved(frame, "counted_rows")
+    last = F.col(count) - 1
+    few = frame.filter(F.col(count) <= COPIES_AT_ONCE)
+    pieces = frame.filter(F.col(count) > COPIES_AT_ONCE).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES_AT_ONCE).cast("long"))).alias("_from")
+    )
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pieces.repartition(tasks, *[F.col(f"`{name}`") for name in frame.columns], "_from")
+    to = F.least(F.col("_from") + (COPIES_AT_ONCE - 1), last)
+    return (
+        few.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .unionByName(spread.withColumn("copy", F.explode(F.sequence("_from", to))).drop("_from"))
+        .drop(count)
+    )
+
+
 def boxed(frame: DataFrame, *names: str) -> DataFrame:
     """The named columns, and all columns as ``row``, whose names then cannot clash."""
     every = F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias("row")
