@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import sensorloom as sl
 from sensorloom.contract import AGGREGATE_SCHEMA
 from sensorloom.functions.durations import interval
+from sensorloom.operators.event_store import append_new_events, stored_events
 from sensorloom.operators.quiet import quiet_signals_with_heartbeat
 from sensorloom.operators.replay_ledger import replay_once as replay_run
 from sensorloom.operators.replay_ledger import replayed
@@ -643,6 +644,17 @@ def replay_once(spark, sf_dir):
     return _plain_times(replayed(spark, folder))
 
 
+def late_copies(spark, sf_dir):
+    """Copies of the first days come with the readings of the last ones, and then all once more."""
+    folder = new_folder(spark, "event_store")
+    copied = _with_copies(_valid(spark, sf_dir), relayed=True)
+    early = F.col("event_time") < F.lit("2024-01-16").cast("timestamp")
+    first = early & (F.substring_index("site_id", "/", -1) == "1")
+    for batch in (copied.where(first), copied.where(~first), copied):
+        append_new_events(batch, folder)
+    return _plain_times(stored_events(spark, folder))
+
+
 def stream_restart(spark, sf_dir):
     """JSON lines arrive in two parts; the second run goes on from the checkpoint."""
     session = stream_session(spark)
@@ -707,6 +719,7 @@ _QUERIES = (
     replay,
     replay_still_refused,
     replay_once,
+    late_copies,
     stream_windows,
     stream_sliding,
     stream_dead_letters,
@@ -991,6 +1004,12 @@ def _parts_sql(source: str) -> str:
         WHERE window_end <= (SELECT max(mark) FROM part_marks)"""
 
 
+_ONE_PER_EVENT = """
+    SELECT device_id, metric_type, event_time, value, min(site_id) || '/1' AS site_id,
+           min(firmware_version) AS firmware_version
+    FROM valid GROUP BY device_id, metric_type, event_time, value"""
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "encode": "SELECT device_key AS key, raw_value AS value FROM telemetry",
@@ -1073,10 +1092,8 @@ def oracle_sql() -> dict[str, str]:
                    AS violations
             FROM telemetry""",
         "dedup": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
-        "dedup_by_key": """
-            SELECT device_id, metric_type, event_time, value, min(site_id) || '/1' AS site_id,
-                   min(firmware_version) AS firmware_version
-            FROM valid GROUP BY device_id, metric_type, event_time, value""",
+        "dedup_by_key": _ONE_PER_EVENT,
+        "late_copies": _ONE_PER_EVENT,
         "dedup_windows": _window_sql(_HOUR),
         "quiet_devices": f"""{_GAPS}
             SELECT * FROM gaps WHERE quiet_until - quiet_from > INTERVAL 12 HOUR""",
