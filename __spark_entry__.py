@@ -14,15 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sensorloom as sl
-from sensorloom.contract import AGGREGATE_SCHEMA
+from sensorloom.contract import AGGREGATE_SCHEMA, VALID_SCHEMA
 from sensorloom.functions.durations import interval
+from sensorloom.operators.audit import audit_by_document
 from sensorloom.operators.event_store import append_new_events, stored_events
 from sensorloom.operators.quiet import quiet_signals_with_heartbeat
+from sensorloom.operators.refused import spikes_on_stream
 from sensorloom.operators.replay_ledger import replay_once as replay_run
 from sensorloom.operators.replay_ledger import replayed
-from sensorloom.plans import reports
+from sensorloom.plans import kept_reports, reports
 from sensorloom.session import heartbeat_session, new_folder, stream_session
 from sensorloom.sources.streams import envelope_stream, read_results, reading_lines_stream
+from sensorloom.streaming.compacted import compact_table, read_compacted
 from sensorloom.streaming.job import JobSettings, start_queries
 from sensorloom.streaming.late_table import append_late_rows, read_late_rows
 from sensorloom.streaming.metrics import recent_progress
@@ -331,6 +334,52 @@ def contract_audit(spark, sf_dir):
     return audited.select("key", "value", F.array_join("violations", ",").alias("violations"))
 
 
+#: A document with an object and an array in it, for orders that are sent as messages.
+ORDER_DOCUMENT = {
+    "type": "object",
+    "required": ["id", "status", "clerk"],
+    "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 1},
+        "status": {"type": "string", "enum": ["O", "F"]},
+        "clerk": {"type": "string"},
+        "order": {
+            "type": "object",
+            "required": ["total"],
+            "additionalProperties": False,
+            "properties": {
+                "total": {"type": "number", "exclusiveMaximum": 200000},
+                "on": {"type": "string", "format": "date"},
+            },
+        },
+        "tags": {"type": "array", "maxItems": 2, "items": {"type": "string", "pattern": "^[1-4]"}},
+    },
+}
+
+
+def document_audit(spark, sf_dir):
+    """Orders as nested messages, against a document of their own."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key = F.col("o_orderkey")
+    inner = F.struct(
+        F.when(key % 7 != 0, F.col("o_totalprice").cast("double")).alias("total"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("on"),
+        F.when(key % 11 == 0, key).alias("extra"),
+    )
+    tags = F.when(key % 5 == 0, F.array_repeat("o_orderpriority", 3)).otherwise(F.array("o_orderpriority"))
+    message = F.to_json(
+        F.struct(
+            key.alias("id"),
+            F.col("o_orderstatus").alias("status"),
+            F.when(key % 13 != 0, F.lit("clerk")).alias("clerk"),
+            F.when(key % 3 != 0, inner).alias("order"),
+            tags.alias("tags"),
+        )
+    )
+    audited = audit_by_document(orders.select(key, message.alias("value")), ORDER_DOCUMENT)
+    return audited.select("o_orderkey", F.array_join("violations", ",").alias("violations"))
+
+
 def dedup(spark, sf_dir):
     return _plain_times(sl.merge_copies(_with_copies(_valid(spark, sf_dir)), keys=None))
 
@@ -525,6 +574,28 @@ def stream_dead_letter_rate(spark, sf_dir):
     return _rounded(_closed(spark, sf_dir, build)[0], "rate")
 
 
+def stream_spikes(spark, sf_dir):
+    def build(classified):
+        return spikes_on_stream(classified, "6 hours", lookback=4, factor=1.2, watermark_delay="2 hours")
+
+    return _rounded(_closed(spark, sf_dir, build)[0], "rate", "past_rate")
+
+
+def stream_compacted(spark, sf_dir):
+    """Valid rows appended part by part, compacted after each but the last."""
+    session = stream_session(spark)
+    folder = new_folder(spark, "compacted")
+    table, kept, schema = f"{folder}/table", f"{folder}/compacted", f"{VALID_SCHEMA}, date DATE"
+    for number in _parts(messages(spark, sf_dir), folder):
+        valid = sl.valid_rows(_classified(envelope_stream(session, f"{folder}/inbox", MESSAGE_SCHEMA)))
+        append_to_parquet(
+            valid, table, f"{folder}/checkpoint", None, date_from="event_time"
+        ).awaitTermination()
+        if number < len(PART_DAYS):
+            compact_table(spark, table, kept, schema, ["date"], fan=3)
+    return _plain_times(read_compacted(spark, table, kept, schema).drop("date"))
+
+
 def stream_metrics(spark, sf_dir):
     def build(classified):
         return sl.windowed_aggregates(sl.valid_rows(classified), "1 day", "2 hours")
@@ -687,6 +758,55 @@ def upserts(spark, sf_dir):
     return _plain_times(read_upserts(spark, folder))
 
 
+def _kept_windows(spark, sf_dir):
+    """Reports over day windows, kept through ten batches; two batches are written again."""
+    folder = new_folder(spark, "kept")
+    _valid(spark, sf_dir).write.parquet(f"{folder}/valid")
+    valid = spark.read.schema(VALID_SCHEMA).parquet(f"{folder}/valid")
+    for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 9):
+        # Of the windows seen so far, those that the batch's hours have changed.
+        seen = valid.where(F.hour("event_time") * 10 < 24 * (batch_id + 1))
+        fresh = F.count_if(F.hour("event_time") * 10 >= 24 * batch_id) > 0
+        changed = (
+            seen.groupBy(F.window("event_time", "1 day"), "device_id", "metric_type").agg(fresh.alias("fresh"))
+            .where("fresh")
+            .select(F.col("window.start").alias("window_start"), "device_id", "metric_type")
+        )
+        changes = sl.windowed_aggregates(seen, "1 day").join(
+            changed, ["window_start", "device_id", "metric_type"], "left_semi"
+        )
+        kept_reports.keep_window_reports(changes, batch_id, folder, compact_every=4)
+    return folder
+
+
+def kept_rollup(spark, sf_dir):
+    rollup = kept_reports.kept_rollup(spark, _kept_windows(spark, sf_dir))
+    return _rounded(rollup, "overall_avg", "weighted_avg")
+
+
+def kept_recent_windows(spark, sf_dir):
+    return _plain_times(kept_reports.kept_recent_windows(spark, _kept_windows(spark, sf_dir)))
+
+
+def _kept_letters(spark, sf_dir):
+    folder = new_folder(spark, "kept")
+    path = f"{folder}/letters"
+    _stamped(spark, sf_dir).select("raw_value", "device_id", "error_reason", "quarantined_at").write.parquet(path)
+    letters = spark.read.parquet(path)
+    for batch_id in (0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 9):
+        batch = letters.where(F.floor(F.hour("quarantined_at") * 10 / 24) == batch_id)
+        kept_reports.keep_letter_reports(batch, batch_id, folder)
+    return folder
+
+
+def kept_breakdown(spark, sf_dir):
+    return kept_reports.kept_breakdown(spark, _kept_letters(spark, sf_dir))
+
+
+def kept_recent_letters(spark, sf_dir):
+    return _plain_times(kept_reports.kept_recent_letters(spark, _kept_letters(spark, sf_dir)))
+
+
 _QUERIES = (
     encode,
     decode,
@@ -706,6 +826,7 @@ _QUERIES = (
     recent_dead_letters,
     reason_breakdown,
     contract_audit,
+    document_audit,
     dedup,
     dedup_by_key,
     dedup_windows,
@@ -729,6 +850,8 @@ _QUERIES = (
     stream_first_copies,
     stream_quiet_devices,
     stream_dead_letter_rate,
+    stream_spikes,
+    stream_compacted,
     stream_metrics,
     stream_two_queries,
     stream_staged_queries,
@@ -737,6 +860,10 @@ _QUERIES = (
     stream_silent_fleet,
     stream_restart,
     upserts,
+    kept_rollup,
+    kept_recent_windows,
+    kept_breakdown,
+    kept_recent_letters,
 )
 
 
@@ -1010,6 +1137,16 @@ _ONE_PER_EVENT = """
     FROM valid GROUP BY device_id, metric_type, event_time, value"""
 
 
+_SPIKES = f"""{_RATES}, past AS (
+  SELECT r.window_start, sum(p.dead_letters) / sum(p.records) AS past_rate
+  FROM rates r JOIN rates p ON p.window_start < r.window_start
+    AND p.window_start >= r.window_start - INTERVAL 24 HOUR
+  GROUP BY r.window_start)
+{_rate_select(''', round(past_rate, 6) AS past_rate,
+  coalesce(rate >= past_rate * 1.2, false) AS is_spike''')}
+FROM rates LEFT JOIN past USING (window_start)"""
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "encode": "SELECT device_key AS key, raw_value AS value FROM telemetry",
@@ -1091,6 +1228,19 @@ def oracle_sql() -> dict[str, str]:
                      CASE fault WHEN {EXTRA_PROPERTY} THEN 'unknown:status' END) END
                    AS violations
             FROM telemetry""",
+        "document_audit": """
+            SELECT o_orderkey, concat_ws(',',
+                     CASE WHEN o_orderkey % 13 = 0 THEN 'missing:clerk' END,
+                     CASE WHEN o_orderkey < 1 THEN 'minimum:id' END,
+                     CASE WHEN o_orderstatus NOT IN ('O', 'F') THEN 'enum:status' END,
+                     CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 7 = 0 THEN 'missing:order.total' END,
+                     CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0 AND o_totalprice >= 200000
+                          THEN 'exclusiveMaximum:order.total' END,
+                     CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 11 = 0 THEN 'unknown:order.extra' END,
+                     CASE WHEN o_orderkey % 5 = 0 THEN 'maxItems:tags' END,
+                     CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-4]') THEN 'pattern:tags[]' END)
+                   AS violations
+            FROM orders""",
         "dedup": "SELECT DISTINCT * EXCLUDE (arrival_time) FROM valid",
         "dedup_by_key": _ONE_PER_EVENT,
         "late_copies": _ONE_PER_EVENT,
@@ -1110,14 +1260,7 @@ def oracle_sql() -> dict[str, str]:
                    error_reason, count(*) AS dead_letters
             FROM dead GROUP BY ALL""",
         "dead_letter_rate": f"{_RATES} {_rate_select(', rate >= 0.5 AS is_spike')} FROM rates",
-        "dead_letter_spikes": f"""{_RATES}, past AS (
-              SELECT r.window_start, sum(p.dead_letters) / sum(p.records) AS past_rate
-              FROM rates r JOIN rates p ON p.window_start < r.window_start
-                AND p.window_start >= r.window_start - INTERVAL 24 HOUR
-              GROUP BY r.window_start)
-            {_rate_select(''', round(past_rate, 6) AS past_rate,
-              coalesce(rate >= past_rate * 1.2, false) AS is_spike''')}
-            FROM rates LEFT JOIN past USING (window_start)""",
+        "dead_letter_spikes": _SPIKES,
         "replay": _REPLAY,
         "replay_once": _REPLAY,
         "replay_still_refused": f"""{_MENDED}
@@ -1140,6 +1283,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE window_start + INTERVAL 6 HOUR
                   <= (SELECT date_trunc('millisecond', max(arrival_time)) - INTERVAL 2 HOUR
                       FROM classified)""",
+        "stream_spikes": f"""{_SPIKES}
+            WHERE window_start + INTERVAL 6 HOUR
+                  <= (SELECT date_trunc('millisecond', max(arrival_time)) - INTERVAL 2 HOUR
+                      FROM classified)""",
+        "stream_compacted": "SELECT * EXCLUDE (arrival_time) FROM valid",
         "stream_metrics": f"""{_DAYS}
             SELECT (SELECT count(*) FROM classified) AS input_rows,
                    count(*) FILTER (window_end > {_MARK}) AS open_groups,
@@ -1153,8 +1301,16 @@ def oracle_sql() -> dict[str, str]:
         "stream_open_windows": f"""SELECT *, window_end > {_MARK} AS is_open FROM ({_window_sql(_DAY)})""",
         "stream_restart": _closed_sql(_HOUR),
         "upserts": _window_sql(_DAY),
+        "kept_rollup": f"""{_DAYS}
+            SELECT metric_type, count(*) AS windows, sum(event_count)::BIGINT AS total_events,
+                   round(avg(avg_value), 6) AS overall_avg,
+                   round(sum(avg_value * event_count) / sum(event_count), 6) AS weighted_avg
+            FROM days GROUP BY metric_type""",
     }
-    plain = {"foreign_text"}
+    bodies["kept_recent_windows"] = bodies["recent_windows"]
+    bodies["kept_recent_letters"] = bodies["recent_dead_letters"]
+    bodies["kept_breakdown"] = bodies["reason_breakdown"]
+    plain = {"foreign_text", "document_audit"}
     sql = {name: ("" if name in plain else _TELEMETRY) + body for name, body in bodies.items()}
     for module in _training_data():
         sql.update(module.oracle_sql())

@@ -26,6 +26,20 @@ DATE_TIME_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
 )
 
+# The same as a schema document, for the audit.
+TELEMETRY_DOCUMENT = {
+    "type": "object",
+    "required": list(REQUIRED_FIELDS),
+    "additionalProperties": False,
+    "properties": {
+        "device_id": {"type": "string", "pattern": DEVICE_ID_PATTERN},
+        "timestamp": {"type": "string", "format": "date-time"},
+        "metric_type": {"type": "string", "enum": list(METRICS)},
+        "value": {"type": "number"},
+        **{name: {"type": "string"} for name in OPTIONAL_FIELDS},
+    },
+}
+
 # The zone letter is parsed as a zone (X), so the instant does not depend on
 # the session time zone; the fraction is optional.
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"

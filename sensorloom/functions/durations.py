@@ -27,6 +27,11 @@ def milliseconds(duration: str) -> int:
     return sum(int(count) * UNIT_MILLISECONDS[unit] for count, unit in parts)
 
 
+def times(duration: str, number: int) -> str:
+    """A duration ``number`` times as long."""
+    return f"{milliseconds(duration) * number} milliseconds"
+
+
 def interval(duration: str) -> Column:
     """The duration as a column that can be added to a timestamp."""
     ms = milliseconds(duration)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.functions.durations import interval
+from sensorloom.functions.durations import interval, times
 from sensorloom.functions.watermarks import watermarked
 from sensorloom.operators.classify import classify, split
 from sensorloom.operators.decode import decode
@@ -89,6 +89,58 @@ def spikes_against_past(
     )
 
 
+def spikes_on_stream(
+    classified: DataFrame,
+    window_duration: str,
+    lookback: int = 6,
+    factor: float = 2.0,
+    watermark_delay: str = "2 minutes",
+    time_col: str = "arrival_time",
+) -> DataFrame:
+    """:func:`dead_letter_rate` with the spikes of :func:`spikes_against_past`; table or stream.
+
+    A window and the ``lookback`` ones before it make one longer window that slides by
+    a window's length and ends where the window does.  So the past needs no second read
+    and no join: the longer windows are summed from the counts of the plain ones, under
+    the same watermark, and a window is told as soon as it closes.  The state has a
+    row per open window and, of the counts alone, ``lookback`` rows more.
+    """
+    step = interval(window_duration)
+    counts = (
+        watermarked(classified, time_col, watermark_delay)
+        .groupBy(F.window(time_col, window_duration))
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(~F.col("is_valid")).alias("refused"),
+        )
+        .select("records", "refused", F.col("window.start").alias("start"), F.window_time("window").alias("at"))
+    )
+    longer = F.window("at", times(window_duration, lookback + 1), window_duration)
+    placed = counts.withColumn("over", longer)
+    own = F.col("start") + step == F.col("over.end")
+
+    def total(name: str, of_own: bool) -> Column:
+        return F.coalesce(F.sum(F.when(own if of_own else ~own, F.col(name))), F.lit(0))
+
+    summed = placed.groupBy("over").agg(
+        total("records", True).alias("records"),
+        total("refused", True).alias("dead_letters"),
+        total("records", False).alias("past_records"),
+        total("refused", False).alias("past_refused"),
+    )
+    rate = F.col("dead_letters") / F.col("records")
+    past = F.try_divide(F.col("past_refused"), F.col("past_records"))
+    return summed.where("records > 0").select(
+        (F.col("over.end") - step).alias("window_start"),
+        F.col("over.end").alias("window_end"),
+        "records",
+        "dead_letters",
+        rate.alias("rate"),
+        past.alias("past_rate"),
+        F.coalesce(rate >= past * F.lit(factor), F.lit(False)).alias("is_spike"),
+    )
+
+
 def replay(
     dead: DataFrame,
     repair: Callable[[DataFrame], DataFrame] | None = None,

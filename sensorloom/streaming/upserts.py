@@ -119,6 +119,18 @@ def compact(
     table.write.mode("overwrite").parquet(f"{path}/base/{UP_TO}={up_to}")
 
 
+def versions_before(
+    spark: SparkSession,
+    path: str,
+    batch_id: int,
+    schema: str = AGGREGATE_SCHEMA,
+    keys: Sequence[str] = AGGREGATE_KEYS,
+) -> DataFrame:
+    """The table as it was before a batch; a compaction that holds the batch is not used."""
+    columns = [field.name for field in spark.createDataFrame([], schema).schema]
+    return latest(_versions(spark, path, schema, batch_id - 1), keys, columns)
+
+
 def read_upserts(
     spark: SparkSession,
     path: str,
