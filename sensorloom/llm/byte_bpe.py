@@ -7,7 +7,8 @@ neighbouring pair up in a hash table, merges the leftmost pair of the least rank
 of every row, and moves the rest of the row up; rows without a pair left drop
 out.  As a piece of ``n`` bytes takes up to ``n`` rounds over ``n`` places, one
 of more than ``LONG`` bytes goes another way to the same ids: it is cut where no
-token can reach across, and what is still long is merged by a heap of pairs.
+token can reach across, and what is still long is merged by a heap of pairs.  A
+piece that is a token as a whole is that token, as is usual with such vocabularies.
 
 The vocabulary (some 50,000 tokens, fixed in size) is read on the driver and
 broadcast.  A bounded cache of pieces lives as long as the Python worker.
@@ -101,7 +102,7 @@ class ByteBpe:
         self.tokens = tokens
         self.numbers = list(range(len(tokens)))
         self.decimals = [str(i) for i in self.numbers]
-        ids = {token: i for i, token in enumerate(tokens)}
+        self.whole = ids = {token: i for i, token in enumerate(tokens)}
         self.of_byte = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(tokens)
         # For ASCII texts the same pattern without Unicode classes is faster.
@@ -135,8 +136,10 @@ class ByteBpe:
         if len(self.cache) > CACHE_PIECES:
             self.cache = {piece: self.cache[piece] for piece in wanted & self.cache.keys()}
         missing = list(wanted - self.cache.keys())
-        encoded = self._merge_all([piece.encode() for piece in missing])
-        self.cache.update(zip(missing, encoded, strict=True))
+        raw = [piece.encode() for piece in missing]
+        for piece, of, ids in zip(missing, raw, self._merge_all(raw), strict=True):
+            # A piece that is a token is that token, though its pairs may not lead there.
+            self.cache[piece] = ids if len(ids) == 1 or of not in self.whole else (self.whole[of],)
         known = self.cache.__getitem__
         for pieces in split:
             yield list(chain.from_iterable(map(known, pieces)))
@@ -237,12 +240,19 @@ class ByteBpe:
         return [i for i in ids if i >= 0]
 
 
-_ready: dict[int, ByteBpe] = {}
+_ready: dict[str, ByteBpe] = {}
+
+
+def vocabulary_digest(tokens: list[bytes], pattern: str) -> str:
+    """Tells vocabularies and patterns apart, by all of their bytes."""
+    digest = hashlib.sha256(pattern.encode())
+    for token in tokens:
+        digest.update(b"%d:" % len(token) + token)
+    return digest.hexdigest()
 
 
-def _coder(tokens: list[bytes], pattern: str) -> ByteBpe:
-    """One coder per Python worker, however many tasks it runs."""
-    key = hash((len(tokens), tokens[-1], pattern))
+def _coder(tokens: list[bytes], pattern: str, key: str) -> ByteBpe:
+    """One coder per vocabulary and Python worker, however many tasks it runs."""
     if key not in _ready:
         _ready[key] = ByteBpe(tokens, pattern)
     return _ready[key]
@@ -310,10 +320,12 @@ def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def _mapped(documents: DataFrame, path: str, pattern: str, rows, schema: str) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(read_ranks(path))
+    tokens = read_ranks(path)
+    key = vocabulary_digest(tokens, pattern)
+    shared = documents.sparkSession.sparkContext.broadcast(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared.value, pattern)
+        coder = _coder(shared.value, pattern, key)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 yield rows(coder, batch.slice(at, 1024))

@@ -349,3 +349,25 @@ def test_spans_that_overlap_are_replaced_together(spark):
     )
     found = [r.out for r in with_replaced(frame, "text", "spans", "out").select(F.col("out")).collect()]
     assert found == ["éé[A][D]ééééé[E]" + "é" * 10, "plain", None]
+
+
+def _rank_file(path, tokens):
+    lines = [base64.b64encode(token) + b" %d\n" % rank for rank, token in enumerate(tokens)]
+    path.write_bytes(b"".join(lines))
+    return str(path)
+
+
+def test_vocabularies_that_end_alike_and_tokens_that_no_pair_leads_to(spark, tmp_path):
+    """Same size, same last token: each has its own ids.  ``xyz`` is a token, ``xy`` and ``yz`` are none."""
+    single = [bytes([b]) for b in range(256)]
+    table = spark.createDataFrame([(1, "ab cd xyz wxyz")], "doc_id long, text string").coalesce(1)
+    pattern = r"\S+|\s+"
+    for middle in ([b"ab", b"xyz"], [b"cd", b"xyz"]):
+        tokens = [*single, *middle, b"last"]
+        path = _rank_file(tmp_path / f"{middle[0].decode()}.tiktoken", tokens)
+        other = tiktoken.Encoding(
+            "own", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={}
+        )
+        row = byte_bpe.tokenize(table, path, pattern).first()
+        assert list(row.ids) == other.encode_ordinary("ab cd xyz wxyz")
+        assert row.round_trip
