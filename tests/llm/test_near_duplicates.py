@@ -161,6 +161,24 @@ def test_shingle_sets(texts, size):
         assert len(got) == len(expected) and (np.diff(got.astype(object)) > 0).all()
 
 
+def test_a_crowd_has_few_links(spark, monkeypatch):
+    """Blocks name their trees by the least id, so that those of 25 orders agree on many links."""
+    monkeypatch.setattr(minhash_forest, "BLOCK", 64)
+    counted = []
+
+    def counting(links):
+        counted.append(links.filter("a <> b").select("a", "b").distinct().count())
+        return components(links)
+
+    monkeypatch.setattr(minhash_forest, "components", counting)
+    base = " ".join(f"b{n}" for n in range(60))
+    rows = [(n, f"{base} own{n}") for n in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    found = minhash_forest.near_duplicates(frame, words=2, percent=80)
+    assert {r.component_id for r in found.collect()} == {0}
+    assert counted[0] < 12 * len(rows)
+
+
 def test_components_of_hard_graphs(spark):
     draw = random.Random(4)
     path = [(n, n + 1) for n in range(120)]
