@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.hashed_text import bytes_and_bounds, groups, mix, word_hashes, word_spans
-from sensorloom.llm.tables import boxed, saved, unboxed
+from sensorloom.llm.tables import boxed, removed, saved, unboxed
+from sensorloom.session import new_folder
 
 LONG = 48
 #: One word in so many ends a part of a long unit.
@@ -41,6 +42,8 @@ GRAM = 13
 WINDOW = 13
 #: More than any text has units.
 PLACES = 2**31
+#: One row in so many tells which digests are frequent; these have so many such rows at least.
+SAMPLED, FREQUENT = 64, 8
 
 _FACTOR = np.uint64(0xBF58_476D_1CE4_E5B9)
 _BACK = np.uint64(pow(int(_FACTOR), -1, 2**64))
@@ -220,23 +223,61 @@ def around(documents: DataFrame, anchors: DataFrame, least_words: int) -> DataFr
     return both.select("doc_id", "text", "places").mapInArrow(run, _UNITS)
 
 
+def _frequent(units: DataFrame) -> list[int]:
+    """Digests that have more than a share of a task's rows, ``8 * tasks`` of them at most.
+
+    Told from one row in ``SAMPLED``; which way a unit goes does not change what is found.
+    """
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(FREQUENT, units.count() // SAMPLED // (8 * tasks))
+    some = units.filter(F.pmod(F.xxhash64("doc_id", "place"), F.lit(SAMPLED)) == 0)
+    found = some.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    return [row.digest for row in found.orderBy(F.desc("n"), "digest").limit(8 * tasks).collect()]
+
+
 def _linked(units: DataFrame) -> DataFrame:
     """The units that occur more than once, with ``source``, and whether they come ``later``.
 
-    What overlaps its first occurrence does not come later.
+    What overlaps its first occurrence does not come later.  ``units`` is a saved table.
+    Its rows are dealt once, by digest.  The few digests that would crowd a task are
+    counted within tasks before that, and their rows are dealt one by one.
     """
+    # Five small numbers go through the shuffle as two; the place leads, so that it ranks.
+    placed = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("begin").cast("long"))
+    sized = F.shiftleft(F.col("words").cast("long"), 32).bitwiseOR(
+        F.shiftleft(F.col("length").cast("long"), 2)
+    ).bitwiseOR(F.col("kind").cast("long"))
+    packed = units.select("digest", "doc_id", placed.alias("placed"), sized.alias("sized"))
     # The rank as one number: the minimum is then a hash aggregate that meets map-side.
-    rank = F.col("doc_id").cast("decimal(20,0)") * PLACES + F.col("place")
-    firsts = units.groupBy("digest").agg(
-        F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")
+    rank = F.col("doc_id").cast("decimal(20,0)") * PLACES + F.shiftright("placed", 32)
+    busy = packed.filter(F.col("digest").isin(_frequent(units)))
+    firsts = busy.groupBy("digest").agg(F.min(rank).alias("rank"), F.count(F.lit(1)).alias("known_n")).select(
+        "digest", "known_n", F.struct(
+            F.floor(F.col("rank") / PLACES).cast("long").alias("doc_id"),
+            F.shiftleft(F.pmod("rank", F.lit(PLACES)).cast("long"), 32).alias("placed"),
+        ).alias("known"),
+    )
+    alone = F.when(F.col("known_n").isNotNull(), F.xxhash64("doc_id", "placed")).alias("alone")
+    group = Window.partitionBy("digest", "alone")
+    dealt = packed.join(F.broadcast(firsts), "digest", "left").select("*", alone).select(
+        "*",
+        F.coalesce("known", F.min(F.struct("doc_id", "placed")).over(group)).alias("first"),
+        F.coalesce("known_n", F.count(F.lit(1)).over(group)).alias("n"),
     ).filter("n > 1")
-    # Stored, so that both sides of the join are dealt anew and a frequent unit can be split.
-    firsts = saved(
-        firsts.select("digest", "first", F.floor(F.col("first") / PLACES).cast("long").alias("source")),
-        "first_units",
+    low = F.lit(2**32 - 1)
+    found = dealt.select(
+        F.col("sized").bitwiseAND(F.lit(3)).cast("byte").alias("kind"),
+        "digest",
+        "doc_id",
+        F.shiftright("placed", 32).cast("int").alias("place"),
+        F.shiftright("sized", 32).cast("int").alias("words"),
+        F.col("placed").bitwiseAND(low).cast("int").alias("begin"),
+        F.shiftright(F.col("sized").bitwiseAND(low), 2).cast("int").alias("length"),
+        F.col("first.doc_id").alias("source"),
+        F.shiftright("first.placed", 32).cast("int").alias("first_place"),
     )
-    later = rank - F.col("first") >= F.col("words")
-    return units.join(firsts, "digest").withColumn("later", later).drop("first")
+    later = (F.col("doc_id") > F.col("source")) | (F.col("place") - F.col("first_place") >= F.col("words"))
+    return found.withColumn("later", later).drop("first_place")
 
 
 def _numbered(pieces: DataFrame) -> DataFrame:
@@ -264,13 +305,15 @@ def repeated_runs(
     null texts have no units; documents without repeats have no row; an empty
     table gives none.
     """
-    linked = _linked(saved(cut(documents, passages), "units"))
+    folder = new_folder(documents.sparkSession, "units")
+    linked = _linked(saved(cut(documents, passages), "units", folder))
     if passages:
         if least_words < GRAM + WINDOW - 1:
             raise ValueError(f"passages have at least {GRAM + WINDOW - 1} words")
         is_anchor = F.col("kind") == ANCHOR
         linked = linked.filter(is_anchor | F.col("later"))
         linked = saved(linked.withColumn("digest", F.when(is_anchor, F.col("digest"))), "linked_units")
+        removed(documents.sparkSession, folder)
         anchors = linked.filter(is_anchor)
         edges = _numbered(anchors.filter("later")).groupBy("doc_id", "run").agg(
             F.min_by("digest", "place").alias("left"), F.max_by("digest", "place").alias("right")

@@ -371,3 +371,33 @@ def test_vocabularies_that_end_alike_and_tokens_that_no_pair_leads_to(spark, tmp
         row = byte_bpe.tokenize(table, path, pattern).first()
         assert list(row.ids) == other.encode_ordinary("ab cd xyz wxyz")
         assert row.round_trip
+
+
+@pytest.mark.parametrize("passages", [True, False])
+def test_frequent_units_are_dealt_one_by_one(spark, monkeypatch, tmp_path, passages):
+    """Whichever way a unit is counted, the same runs go; the table of units goes as well."""
+    draw = random.Random(9)
+    passage = " ".join(f"p{n}" for n in range(40))
+    rows = [
+        (n, "a very common line\n" + " ".join(f"w{draw.randrange(60)}" for _ in range(50)) + f"\nOwn {passage} x{n}")
+        for n in range(-5, 40)
+    ]
+    rows += [rows[7], (None, "a very common line")]
+    table = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    monkeypatch.setattr(repeated_units, "new_folder", lambda spark, purpose: str(tmp_path / purpose))
+
+    def runs():
+        columns = ("doc_id", "begin", "end", "words")
+        return sorted(repeated_units.repeated_runs(table, passages=passages).select(*columns).collect())
+
+    dealt = runs()
+    assert len(dealt) >= 44 and (tmp_path / "units").exists() != passages
+    monkeypatch.setattr(repeated_units, "new_folder", lambda spark, purpose: str(tmp_path / f"{purpose}2"))
+    monkeypatch.setattr(repeated_units, "SAMPLED", 1)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert repeated_units._frequent(repeated_units.cut(table)) != []
+        assert runs() == dealt
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
