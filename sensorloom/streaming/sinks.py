@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: Row groups of laid-out tables are held for every open file, so they are small.
+BLOCK_BYTES = 16 << 20
+
 
 def append_to_parquet(
     stream: DataFrame,
@@ -44,7 +47,7 @@ def append_to_parquet(
         .outputMode("append")
     )
     if layout:
-        writer = writer.partitionBy(*layout)
+        writer = writer.partitionBy(*layout).option("parquet.block.size", BLOCK_BYTES)
     if name is not None:
         writer = writer.queryName(name)
     if trigger_interval is None:
