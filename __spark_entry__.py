@@ -744,13 +744,19 @@ def stream_restart(spark, sf_dir):
     return _plain_times(read_results(spark, f"{folder}/table"))
 
 
+def _stored_valid(spark, sf_dir, folder):
+    """Valid rows, stored once, so that batches over them parse nothing."""
+    _valid(spark, sf_dir).write.parquet(f"{folder}/valid")
+    return spark.read.schema(VALID_SCHEMA).parquet(f"{folder}/valid")
+
+
 def upserts(spark, sf_dir):
     """Day windows as an update-mode query hands them over: hour by hour, with one compaction.
 
     Batches 3 and 9 are written again, before and after the compaction.
     """
-    valid = _valid(spark, sf_dir)
     folder = new_folder(spark, "upserts")
+    valid = _stored_valid(spark, sf_dir, folder)
     write = upsert_writer(folder, files_per_batch=2, compact_every=6)
     for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 3, 9):
         seen = valid.where(F.hour("event_time") * 10 < 24 * (batch_id + 1))
@@ -761,8 +767,7 @@ def upserts(spark, sf_dir):
 def _kept_windows(spark, sf_dir):
     """Reports over day windows, kept through ten batches; two batches are written again."""
     folder = new_folder(spark, "kept")
-    _valid(spark, sf_dir).write.parquet(f"{folder}/valid")
-    valid = spark.read.schema(VALID_SCHEMA).parquet(f"{folder}/valid")
+    valid = _stored_valid(spark, sf_dir, folder)
     for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 9):
         # Of the windows seen so far, those that the batch's hours have changed.
         seen = valid.where(F.hour("event_time") * 10 < 24 * (batch_id + 1))

@@ -24,6 +24,24 @@ def plan(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_upserts_parse_once(spark, tmp_path, monkeypatch):
+    plans, made = [], entry.upsert_writer
+
+    def writer(*args, **options):
+        write = made(*args, **options)
+
+        def looked_at(changes, batch_id):
+            plans.append(plan(changes))
+            write(changes, batch_id)
+
+        return looked_at
+
+    monkeypatch.setattr(entry, "upsert_writer", writer)
+    windows = entry.upserts(spark, events(spark, tmp_path))
+    assert windows.count() > 50 and len(plans) == 13
+    assert not any("from_json" in text for text in plans)
+
+
 def test_a_layout_is_written_without_a_sort(spark, tmp_path):
     """More dates than files that may be open: all rows are there, each in its date."""
     session = stream_session(spark)
