@@ -771,12 +771,10 @@ def _kept_windows(spark, sf_dir):
     for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 9):
         # Of the windows seen so far, those that the batch's hours have changed.
         seen = valid.where(F.hour("event_time") * 10 < 24 * (batch_id + 1))
-        fresh = F.count_if(F.hour("event_time") * 10 >= 24 * batch_id) > 0
-        changed = (
-            seen.groupBy(F.window("event_time", "1 day"), "device_id", "metric_type").agg(fresh.alias("fresh"))
-            .where("fresh")
-            .select(F.col("window.start").alias("window_start"), "device_id", "metric_type")
-        )
+        fresh = seen.where(F.hour("event_time") * 10 >= 24 * batch_id)
+        changed = fresh.select(
+            F.window("event_time", "1 day")["start"].alias("window_start"), "device_id", "metric_type"
+        ).distinct()
         changes = sl.windowed_aggregates(seen, "1 day").join(
             changed, ["window_start", "device_id", "metric_type"], "left_semi"
         )

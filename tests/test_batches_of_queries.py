@@ -42,6 +42,19 @@ def test_upserts_parse_once(spark, tmp_path, monkeypatch):
     assert not any("from_json" in text for text in plans)
 
 
+def test_kept_windows_group_all_rows_once_a_batch(spark, tmp_path, monkeypatch):
+    plans, keep = [], entry.kept_reports.keep_window_reports
+
+    def looked_at(changes, batch_id, *args, **options):
+        plans.append(plan(changes))
+        keep(changes, batch_id, *args, **options)
+
+    monkeypatch.setattr(entry.kept_reports, "keep_window_reports", looked_at)
+    entry._kept_windows(spark, events(spark, tmp_path))
+    # Besides the windows themselves, distinct keys of the batch's own hours.
+    assert len(plans) == 12 and not any("count_if" in text or "count(if" in text for text in plans)
+
+
 def test_a_layout_is_written_without_a_sort(spark, tmp_path):
     """More dates than files that may be open: all rows are there, each in its date."""
     session = stream_session(spark)
