@@ -514,8 +514,8 @@ def _parts(raw, folder):
     spark = raw.sparkSession
     days = [F.lit(day).cast("timestamp") for day in PART_DAYS]
     part = sum((F.col("arrival_time") >= day).cast("int") for day in days)
-    cut = raw.withColumn("part", part).repartition("part")
-    cut.write.partitionBy("part").parquet(f"{folder}/sent")
+    # Each task writes its own rows of every part; dealt by part, six tasks would write all.
+    raw.withColumn("part", part).write.partitionBy("part").parquet(f"{folder}/sent")
     for number in range(len(PART_DAYS) + 1):
         whole = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{folder}/sent").where(F.col("part") == number)
         whole.drop("part").write.mode("append").parquet(f"{folder}/inbox")

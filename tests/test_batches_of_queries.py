@@ -24,6 +24,18 @@ def plan(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_parts_are_written_by_every_task(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    sent = spark.range(4000, numPartitions=4).select(
+        F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int") % 30)).alias("arrival_time"),
+    )
+    assert list(entry._parts(sent, str(tmp_path))) == [0, 1, 2, 3, 4, 5]
+    assert all(len(list((tmp_path / "sent" / f"part={n}").glob("*.parquet"))) == 4 for n in range(6))
+    inbox = spark.read.parquet(str(tmp_path / "inbox"))
+    assert inbox.count() == inbox.select("key").distinct().count() == 4000
+
+
 def test_upserts_parse_once(spark, tmp_path, monkeypatch):
     plans, made = [], entry.upsert_writer
 
