@@ -179,6 +179,33 @@ def test_a_crowd_has_few_links(spark, monkeypatch):
     assert counted[0] < 12 * len(rows)
 
 
+def test_links_of_a_crowd_do_not_pile_up(spark, monkeypatch):
+    """A crowd of many blocks gives components() about a link for each text, from either side."""
+    monkeypatch.setattr(minhash_forest, "BLOCK", 16)
+    counted = []
+
+    def counting(links):
+        counted.append(links.filter("a <> b").select("a", "b").distinct().count())
+        return components(links)
+
+    monkeypatch.setattr(minhash_forest, "components", counting)
+    base = " ".join(f"b{n}" for n in range(60))
+    rows = [(n, f"{base} own{n}") for n in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    found = minhash_forest.near_duplicates(frame, words=2, percent=80)
+    assert {r.component_id for r in found.collect()} == {0}
+    assert len(counted) == 3 and max(counted) < 4 * len(rows), counted
+
+
+def test_links_to_a_known_component_are_between_names():
+    """Two tiles that link a row to different rows of one component give the same link."""
+    sets = [np.arange(10, dtype=np.uint64)] * 2
+    for other in (3, 4):
+        known, minor = np.array([1, 7]), np.array([False, True])
+        links = minhash_forest._confirm(np.array([other, 9]), sets, 80, known, minor)
+        assert sorted(links[0]) == [1, 7] and len(links) == 1
+
+
 def test_components_of_hard_graphs(spark):
     draw = random.Random(4)
     path = [(n, n + 1) for n in range(120)]
