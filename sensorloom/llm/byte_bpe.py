@@ -28,8 +28,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from sensorloom.llm.workers import sparing
+
 LONG = 256
-CACHE_PIECES = 400_000
+#: A piece takes some 300 bytes in each worker.
+CACHE_PIECES = 100_000
+#: Characters that are split, and places of padded matrices that are merged, at once.
+CHARACTERS, PLACES = 1 << 20, 1 << 18
 _NONE = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E37_79B9_7F4A_7C15)
 _ASCII = {r"\p{L}": "a-zA-Z", r"\p{N}": "0-9"}
@@ -156,7 +161,7 @@ class ByteBpe:
         for high in (1, 2, 4, 6, 8, 12, 16, 24, 32, 64, 128, LONG):
             bucket = np.flatnonzero((lengths > low) & (lengths <= high))
             low = high
-            step = max(1, (1 << 20) // high)
+            step = max(1, PLACES // high)
             for at in range(0, len(bucket), step):
                 rows = bucket[at : at + step]
                 for i, ids in zip(rows, self._merge_rows([pieces[r] for r in rows], high), strict=True):
@@ -258,7 +263,7 @@ def _coder(tokens: list[bytes], pattern: str, key: str) -> ByteBpe:
     return _ready[key]
 
 
-def _slices(texts: list[str], most: int = 1 << 22) -> Iterator[list[str]]:
+def _slices(texts: list[str], most: int = CHARACTERS) -> Iterator[list[str]]:
     """Runs of texts of about so many characters together, or of one text."""
     held, size = [], 0
     for text in texts:
@@ -327,8 +332,7 @@ def _mapped(documents: DataFrame, path: str, pattern: str, rows, schema: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared.value, pattern, key)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                yield rows(coder, batch.slice(at, 1024))
+            yield rows(coder, batch)
 
     frame = documents.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(sparing(run), schema)

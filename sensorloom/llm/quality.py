@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import features
 from sensorloom.llm.hashed_text import word_hashes, word_spans
+from sensorloom.llm.workers import sparing
 
 #: Bound of the sample to learn from.
 PER_GRADE = 4000
@@ -254,4 +255,4 @@ def selected(documents: DataFrame, labels: DataFrame, least: float = SELECTED_FR
             good = tails_of(batch.column(at), shared.value)[:, -1] >= least
             yield batch.filter(pa.array(good))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(sparing(run), documents.schema)
