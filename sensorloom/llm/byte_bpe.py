@@ -32,7 +32,7 @@ from sensorloom.llm.workers import sparing
 
 LONG = 256
 #: A piece takes some 300 bytes in each worker.
-CACHE_PIECES = 100_000
+CACHE_PIECES = 250_000
 #: Characters that are split, and places of padded matrices that are merged, at once.
 CHARACTERS, PLACES = 1 << 20, 1 << 18
 _NONE = np.int32(2**31 - 1)
